@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.base import (DONE, date_key, device_key, elt, iavg, isum, mavg, msum, pct, r, ratio, units,
+from oracle.base import (DONE, date_key, elt, iavg, isum, mavg, msum, pct, r, ratio, units,
                          with_entities)
 
 AS_OF = "TIMESTAMP '2024-01-30 23:59:59'"
@@ -25,10 +25,7 @@ def cnt_if(cond: str) -> str:
 
 
 # ---- silver and gold -----------------------------------------------------------------------
-add("silver_orders", "SELECT * EXCLUDE (copy, rollup_order) FROM silver_orders",
-    silver_orders_all="SELECT 1")
-SQL["silver_orders"] = with_entities(
-    "SELECT * EXCLUDE (copy) FROM silver_orders")
+add("silver_orders", "SELECT * EXCLUDE (copy) FROM silver_orders")
 add("silver_orders_ev", "SELECT * EXCLUDE (e) FROM silver_orders_ev")
 add("silver_payments", "SELECT * EXCLUDE (e) FROM silver_payments")
 add("silver_clickstream", "SELECT * EXCLUDE (e) FROM silver_clickstream")
@@ -252,7 +249,7 @@ def _metrics(fact: str, today: str) -> str:
                {_i(days)} AS days_since_last_order
         FROM {fact} GROUP BY user_id)
   LEFT JOIN (SELECT user_id AS uid, primary_category AS preferred_category
-             FROM {fact} WHERE primary_category IS NOT NULL GROUP BY ALL
+             FROM {fact} WHERE primary_category IS NOT NULL GROUP BY user_id, primary_category
              QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, primary_category) = 1) ON uid = user_id"""
 
 
@@ -365,18 +362,14 @@ UNION ALL {_health('fact_payments', 'payment_timestamp')} FROM fact_payments
 UNION ALL {_health('fact_clickstream', 'view_timestamp')} FROM fact_clickstream""")
 
 # ---- merges --------------------------------------------------------------------------------
-_FIRST = """
-  SELECT order_id AS old_id, order_status AS old_status FROM raw_orders
+# the date key of a known order stays that of its first send
+_FIRST = f"""
+  SELECT order_id AS old_id, order_status AS old_status, {date_key('event_timestamp')} AS old_key FROM raw_orders
   WHERE copy = 0 AND total_amount > 0 AND total_amount < 50000 AND event_timestamp < TIMESTAMP '2001-06-01'"""
 add("merge_orders", f"""
-SELECT order_id, order_status, order_total, country, date_key, primary_category,
+SELECT order_id, order_status, order_total, country, coalesce(old_key, date_key) AS date_key, primary_category,
        CASE WHEN old_id IS NULL OR old_status <> order_status THEN {ORDERS_AS_OF} ELSE TIMESTAMP '2001-06-01' END AS loaded_at
-FROM fact_orders LEFT JOIN first_load ON old_id = order_id
-WHERE old_id IS NULL OR true""", first_load=_FIRST)
-# the date key of a known order stays that of its first send
-SQL["merge_orders"] = SQL["merge_orders"].replace(
-    "country, date_key, primary_category,", "country, coalesce(old_key, date_key) AS date_key, primary_category,").replace(
-    "order_status AS old_status FROM raw_orders", f"order_status AS old_status, {date_key('event_timestamp')} AS old_key FROM raw_orders")
+FROM fact_orders LEFT JOIN first_load ON old_id = order_id""", first_load=_FIRST)
 add("fact_changes", """
 SELECT CASE WHEN old_id IS NULL THEN 'insert' ELSE 'update' END AS change, order_id, order_status, order_total, country
 FROM fact_orders LEFT JOIN first_load ON old_id = order_id WHERE old_id IS NULL OR old_status <> order_status""",
@@ -402,9 +395,6 @@ FROM dim_products LEFT JOIN (SELECT DISTINCT product_id AS early FROM items WHER
   (SELECT order_id FROM silver_orders WHERE event_timestamp < TIMESTAMP '2000-01-01')) ON early = product_id""")
 
 # ---- dashboards ----------------------------------------------------------------------------
-_D0 = "coalesce({a} / nullif(CAST({b} AS DOUBLE), 0), 0)"
-
-
 def _div0(a: str, b: str) -> str:
     return f"coalesce(({a}) / nullif(CAST({b} AS DOUBLE), 0), 0)"
 
@@ -619,12 +609,13 @@ _PARTS = ("CAST(year(t) AS INT) AS year, CAST(month(t) AS INT) AS month, CAST(da
 _ARRIVAL = "event_timestamp + to_minutes(CAST(e % 7 AS BIGINT))"
 
 # stream -> (rows, [(fails when, reason)] in order of precedence), applied to one copy of a record
-_TXT = "printf('%s', x)"
 _RULES = {
     "orders": ("raw_orders_ev", [
         ("e % 97 = 0", "'JSON decode error'"),
         (_NO_KEY, "'Schema error: Missing required fields: currency'"),
+        (f"({_NO_USER} AND country IS NULL)", "'Schema error: Null values in required fields: country, user_id'"),
         (_NO_USER, "'Schema error: Null values in required fields: user_id'"),
+        ("(country IS NULL)", "'Schema error: Null values in required fields: country'"),
         (_NEGATIVE, "'Business rule: Invalid total_amount: -' || CAST(total_amount AS VARCHAR)"),
         (_BAD_CODE, "'Business rule: Unsupported currency: XYZ'"),
         (_BAD_TIME, "'Business rule: Invalid event_timestamp: not-a-time'")]),

@@ -40,12 +40,10 @@ def payloads(spark: SparkSession, folder: str, stream: str, copies: bool = True)
     text = (F.when(e % 97 == 0, F.concat(F.lit("not json "), e.cast("string")))
             .when(e % 89 == 0, F.to_json(F.struct(*[c for c in fields if c != dropped]), keep_nulls))
             .otherwise(F.to_json(F.struct(*fields), keep_nulls)))
-    out = df.select(F.base64(text.cast("binary")).alias("data"), "arrival_ts", "e")
-    if copies:
-        times = F.when(e % 67 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-        out = out.withColumn("copy", F.explode(times)).withColumn(
-            "arrival_ts", F.col("arrival_ts") + F.make_dt_interval(secs=F.col("copy").cast("decimal(18,6)")))
-    return out.select("data", "arrival_ts")
+    times = F.when(e % 67 == 0, 2).otherwise(1) if copies else F.lit(1)
+    out = df.select("arrival_ts", F.posexplode(F.array_repeat(F.base64(text.cast("binary")), times)).alias("copy", "data"))
+    return out.select("data", (F.col("arrival_ts") + F.make_dt_interval(secs=F.col("copy").cast("decimal(18,6)")))
+                      .alias("arrival_ts"))
 
 
 def dead_letter_rows(spark: SparkSession, folder: str) -> DataFrame:

@@ -30,8 +30,10 @@ def decode(batch: DataFrame, entity: str) -> DataFrame:
     """Add ``payload`` (text), ``fields`` (key presence; null when not a JSON object) and ``rec`` (typed record)."""
     text = F.try_to_binary("data", F.lit("base64")).cast("string")
     out = batch.withColumn("payload", text)
-    return out.withColumns({"fields": F.from_json("payload", "map<string,string>"),
-                            "rec": F.from_json("payload", WIRE[entity])})
+    # A one-row generator: later filters read its output, so a record is parsed once and not again in every predicate.
+    parsed = F.struct(F.from_json("payload", "map<string,string>").alias("fields"),
+                      F.from_json("payload", WIRE[entity]).alias("rec"))
+    return out.select(*out.columns, F.inline(F.array(parsed)))
 
 
 def _listed(names: Column) -> Column:
