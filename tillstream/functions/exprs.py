@@ -20,8 +20,12 @@ def rnd(col, digits: int) -> Column:
 
 
 def units(col, digits: int = 2) -> Column:
-    """A fixed-point value as a whole number of its smallest unit (money -> cents)."""
-    return F.round(_c(col) * F.lit(float(10 ** digits))).cast("long")
+    """A fixed-point value as a whole number of its smallest unit (money -> cents).
+
+    ``floor(v + 0.5)`` is one machine operation; ``round`` on a double goes through a BigDecimal per row. The input has
+    no more than ``digits`` decimals, so there are no ties that the two could treat differently.
+    """
+    return F.floor(_c(col) * F.lit(float(10 ** digits)) + F.lit(0.5))
 
 
 def fixed_sum(col, digits: int = 2) -> Column:
@@ -29,6 +33,11 @@ def fixed_sum(col, digits: int = 2) -> Column:
     return F.sum(units(col, digits)) / F.lit(float(10 ** digits))
 
 
+def fixed_sum_of(plus, minus, digits: int = 2) -> Column:
+    """sum(plus) - sum(minus), exact like ``fixed_sum``."""
+    return (F.sum(units(plus, digits)) - F.sum(units(minus, digits))) / F.lit(float(10 ** digits))
+
+
 def fixed_avg(col, digits: int = 2, scale: int = 2) -> Column:
     """Mean of a fixed-point double, rounded to ``digits``."""
     col = _c(col)

@@ -87,7 +87,7 @@ def preferred_category(fact_orders: DataFrame) -> DataFrame:
 def user_metrics(fact_orders: DataFrame, as_of: dt.date) -> DataFrame:
     """Order history figures and scores per user."""
     m = fact_orders.groupBy("user_id").agg(
-        F.countDistinct("order_id").alias("total_orders"), x.rnd(x.fixed_sum("order_total"), 2).alias("total_spend"),
+        F.countDistinct("order_id").alias("total_orders"), x.fixed_sum("order_total").alias("total_spend"),
         x.fixed_avg("order_total").alias("avg_order_value"), F.to_date(F.min("order_timestamp")).alias("first_order_date"),
         F.to_date(F.max("order_timestamp")).alias("last_order_date"), F.max("country").alias("country"),
         F.max("customer_segment").alias("customer_segment"), F.max("is_prime").alias("is_prime"))

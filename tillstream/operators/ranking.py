@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillstream.functions.exprs import units
 from tillstream.operators.rows import join_on
 
 
@@ -34,7 +35,10 @@ def with_rank(df: DataFrame, keys: Sequence[str], value: str, name: str, weight:
     """``rank()`` by ``value`` descending within ``keys``; a row may stand for ``weight`` equal rows."""
     w = F.col(weight) if weight else F.lit(1)
     rows = df.withColumn("_bucket", magnitude_bucket(F.col(value)))
-    offsets = _offsets(rows, keys, w, descending=True)
+    # The totals read every column (adding zero): both branches then need the same columns, their input plans are equal,
+    # and Spark reuses the input's shuffle instead of computing the joins and aggregates below it a second time.
+    zero = F.hash(*[F.col(c) for c in df.columns]).bitwiseAND(F.lit(0))
+    offsets = _offsets(rows, keys, w + zero, descending=True)
     local = Window.partitionBy(*keys, "_bucket").orderBy(F.col(value).desc_nulls_last())
     if weight is None:
         rows = rows.withColumn("_local", F.rank().over(local).cast("long"))
@@ -55,7 +59,7 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: Column, names:
     neighbours of every wanted position.
     """
     one = 10 ** scale
-    counts = (df.select(*keys, F.round(value * one).cast("long").alias("_v")).filter("_v is not null")
+    counts = (df.select(*keys, units(value, scale).alias("_v")).filter("_v is not null")
               .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
               .withColumn("_bucket", magnitude_bucket(F.col("_v"))))
     offsets = _offsets(counts, keys, F.col("_n"), descending=False)

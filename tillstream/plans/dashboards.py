@@ -19,7 +19,7 @@ def completed(fact_orders: DataFrame) -> DataFrame:
 
 
 def _revenue() -> Column:
-    return x.rnd(x.fixed_sum("order_total"), 2)
+    return x.fixed_sum("order_total")
 
 
 def _measures(df: DataFrame, **aggs: Column) -> DataFrame:
@@ -197,7 +197,7 @@ def new_vs_returning(fact_orders: DataFrame) -> DataFrame:
 # ---- products ------------------------------------------------------------------------------
 
 def _item_revenue() -> Column:
-    return x.rnd(F.sum(x.units("final_price") * F.col("quantity")) / 100.0, 2)
+    return F.sum(x.units("final_price") * F.col("quantity")) / 100.0
 
 
 def best_products(orders: DataFrame, items: DataFrame | None = None, limit: int = 20) -> DataFrame:
@@ -227,7 +227,7 @@ def rank_over_time(orders: DataFrame, items: DataFrame | None = None, n: int = 5
     """
     rows = item_rows(orders.filter(x.is_completed()), items, ["order_id", "year", "month"])
     monthly = rows.groupBy("product_id", "year", "month").agg(_item_revenue().alias("revenue"))
-    best = (monthly.groupBy("product_id").agg(x.rnd(x.fixed_sum("revenue"), 2).alias("total"))
+    best = (monthly.groupBy("product_id").agg(x.fixed_sum("revenue").alias("total"))
             .orderBy(F.col("total").desc(), "product_id").limit(n).select("product_id"))
     mine = monthly.join(best, "product_id", "left_semi")
     theirs = monthly.select("year", "month", F.col("revenue").alias("other"))

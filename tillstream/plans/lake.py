@@ -29,7 +29,7 @@ def top_products(orders: DataFrame, as_of: dt.datetime, items: DataFrame | None
     revenue = F.sum(x.units("final_price") * F.col("quantity")) / 100.0
     best = rows.groupBy("product_id", "product_name", "category", "brand").agg(
         F.sum("quantity").alias("units_sold"), F.countDistinct("order_id").alias("order_count"),
-        x.rnd(revenue, 2).alias("total_revenue"), x.fixed_avg("unit_price").alias("avg_unit_price"),
+        revenue.alias("total_revenue"), x.fixed_avg("unit_price").alias("avg_unit_price"),
         x.fixed_avg("discount_pct").alias("avg_discount_pct"),
     ).orderBy(F.col("total_revenue").desc(), "product_id").limit(limit)
     # a dense rank needs only the rows above, so ranking the kept rows gives the same numbers
@@ -43,7 +43,7 @@ def conversion_by_channel(clicks: DataFrame, orders: DataFrame, as_of: dt.date,
         F.countDistinct("session_id").alias("total_sessions"), F.countDistinct("user_id").alias("unique_users"))
     bought = in_month(orders, as_of).filter(x.is_completed()).groupBy(*keys).agg(
         F.countDistinct("session_id").alias("converting_sessions"), F.countDistinct("order_id").alias("total_orders"),
-        x.rnd(x.fixed_sum("total_amount"), 2).alias("revenue"))
+        x.fixed_sum("total_amount").alias("revenue"))
     out = join_on(sessions, bought, keys, "left", null_safe).fillna(
         0, subset=["converting_sessions", "total_orders", "revenue"])
     return out.select(*keys, "total_sessions", "unique_users", F.col("total_orders").alias("orders"), "revenue",
@@ -56,8 +56,8 @@ def hourly_revenue_trend(orders: DataFrame, as_of: dt.date) -> DataFrame:
     """Today's revenue by hour and country with a running total; everything but cancelled orders."""
     out = on_day(orders, as_of).filter(F.col("order_status") != "cancelled").groupBy("hour", "country").agg(
         F.count("order_id").alias("orders"), F.countDistinct("user_id").alias("buyers"),
-        x.rnd(x.fixed_sum("total_amount"), 2).alias("gross_revenue"),
-        x.rnd(x.fixed_sum(F.col("total_amount") - F.col("discount_amount")), 2).alias("net_revenue"),
+        x.fixed_sum("total_amount").alias("gross_revenue"),
+        x.fixed_sum(F.col("total_amount") - F.col("discount_amount")).alias("net_revenue"),
         x.fixed_avg("total_amount").alias("avg_order_value"))
     w = Window.partitionBy("country").orderBy("hour").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return out.withColumn("cumulative_revenue", F.sum(x.units("gross_revenue")).over(w) / 100.0).orderBy("country", "hour")
@@ -68,7 +68,7 @@ def cart_sessions(carts: DataFrame, as_of: dt.date | None, last_total: bool = Fa
 
     ``last_total`` takes the largest cart total instead of summing the running total of every add.
     """
-    money = x.rnd(F.max("cart_total") if last_total else x.fixed_sum("cart_total"), 2)
+    money = x.rnd(F.max("cart_total"), 2) if last_total else x.fixed_sum("cart_total")
     return in_month(carts, as_of).filter(F.col("action") == "item_added").groupBy(
         "session_id", "user_id", "country", "device_type", "customer_segment").agg(
         F.countDistinct("product_id").alias("products_added"), money.alias("potential_revenue"),
@@ -82,7 +82,7 @@ def abandoned_carts(carts: DataFrame, orders: DataFrame, as_of: dt.date, last_to
     lost = F.when(F.col("converted").isNull(), F.col("potential_revenue")).otherwise(0.0)
     out = rows.groupBy(*by).agg(
         F.count("session_id").alias("cart_sessions"), F.count("converted").alias("converted_sessions"),
-        x.rnd(x.fixed_sum(lost), 2).alias("lost_revenue"))
+        x.fixed_sum(lost).alias("lost_revenue"))
     gone = F.col("cart_sessions") - F.col("converted_sessions")
     return out.select(*by, "cart_sessions", "converted_sessions", gone.alias("abandoned_carts"),
                       x.pct(gone, "cart_sessions").alias("abandonment_rate_pct"), "lost_revenue"
@@ -148,7 +148,7 @@ def aov_by_segment(orders: DataFrame, year: int | None, min_orders: int = 10, ex
         rows = rows.filter(F.col("year") == year)
     aggs = [F.countDistinct("user_id").alias("customers"), F.count("order_id").alias("orders"),
             x.fixed_avg("total_amount").alias("avg_order_value"),
-            x.rnd(x.fixed_sum("total_amount"), 2).alias("total_revenue"),
+            x.fixed_sum("total_amount").alias("total_revenue"),
             x.int_avg("item_count", 1).alias("avg_items_per_order")]
     if exact:
         base = rows.groupBy(*keys).agg(*aggs).filter(F.col("orders") >= min_orders)
@@ -168,7 +168,7 @@ def payment_success(payments: DataFrame, as_of: dt.date | None) -> DataFrame:
         F.count_if(status == "failed").alias("failed"), F.count_if(status == "declined").alias("declined"),
         x.int_avg("processing_time_ms", 0).alias("avg_processing_ms"),
         x.fixed_avg("amount").alias("avg_transaction_amount"),
-        x.rnd(x.fixed_sum(F.when(status == "success", F.col("amount")).otherwise(0.0)), 2).alias("successful_volume"),
+        x.fixed_sum(F.when(status == "success", F.col("amount")).otherwise(0.0)).alias("successful_volume"),
         F.count_if(F.col("failure_reason") == "fraud_detected").alias("fraud_count"))
     return out.withColumn("success_rate_pct", x.pct("successful", "total_transactions")).orderBy(
         F.col("total_transactions").desc(), "payment_method", "payment_gateway", "country", "failure_reason")

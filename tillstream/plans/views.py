@@ -50,11 +50,11 @@ def revenue_by_day(fact_orders: DataFrame, dim_time: DataFrame, lag_rows: int =
     out = done.groupBy(*REVENUE_KEYS).agg(
         F.count("order_id").alias("total_orders"), F.count_if("is_weekend").alias("weekend_orders"),
         F.countDistinct("user_id").alias("unique_buyers"), F.sum("item_count").alias("total_units"),
-        x.rnd(total, 2).alias("gross_revenue"),
-        x.rnd(x.fixed_sum(F.col("order_total") - F.col("discount_amount")), 2).alias("net_revenue"),
-        x.rnd(x.fixed_sum("discount_amount"), 2).alias("total_discounts"),
-        x.rnd(x.fixed_sum("shipping_cost"), 2).alias("total_shipping"),
-        x.rnd(x.fixed_sum("tax_amount"), 2).alias("total_tax"), x.fixed_avg("order_total").alias("aov"))
+        total.alias("gross_revenue"),
+        x.fixed_sum(F.col("order_total") - F.col("discount_amount")).alias("net_revenue"),
+        x.fixed_sum("discount_amount").alias("total_discounts"),
+        x.fixed_sum("shipping_cost").alias("total_shipping"),
+        x.fixed_sum("tax_amount").alias("total_tax"), x.fixed_avg("order_total").alias("aov"))
     median = exact_percentiles(done, REVENUE_KEYS, F.col("order_total"), {"median_order_value": 0.5})
     out = join_on(out, median, REVENUE_KEYS, "inner", null_safe=True)
     w = Window.partitionBy("country").orderBy("order_date", "payment_method", "order_value_tier")
@@ -68,7 +68,7 @@ def revenue_delta_30d(fact_orders: DataFrame, dim_time: DataFrame, days: int = 3
     """Daily revenue per country against the same country exactly ``days`` days earlier (0 where nothing was sold)."""
     done = calendar_join(fact_orders.filter(x.is_completed()), dim_time, "full_date")
     daily = done.groupBy("country", F.col("full_date").cast("date").alias("order_date")).agg(
-        x.rnd(x.fixed_sum("order_total"), 2).alias("revenue"))
+        x.fixed_sum("order_total").alias("revenue"))
     earlier = daily.select("country", F.date_add("order_date", days).alias("order_date"),
                            F.col("revenue").alias("revenue_before"))
     out = join_on(daily, earlier, ["country", "order_date"], "left", null_safe=True).fillna(0.0, ["revenue_before"])
@@ -81,7 +81,7 @@ def _category_sales(fact_orders: DataFrame, keys: list[str]) -> DataFrame:
     per_item = F.round(F.col("order_total") * 1e6 / F.nullif(F.col("item_count"), F.lit(0))).cast("long")
     return fact_orders.groupBy(F.col("primary_category").alias("category"), *keys).agg(
         F.count("order_id").alias("order_count"), F.sum("item_count").alias("units_sold"),
-        x.rnd(x.fixed_sum("order_total"), 2).alias("total_revenue"),
+        x.fixed_sum("order_total").alias("total_revenue"),
         x.rnd(F.sum(per_item) / 1e6 / F.nullif(F.count(per_item), F.lit(0)), 2).alias("avg_item_price"),
         x.fixed_avg("effective_discount_pct").alias("avg_discount_pct")).filter(F.col("category").isNotNull())
 
@@ -121,12 +121,12 @@ def rpt_daily_revenue(fact_orders: DataFrame) -> DataFrame:
     out = fact_orders.filter(x.is_completed()).withColumn(
         "report_date", F.to_date("order_timestamp").cast("string")).groupBy(*keys).agg(
         F.count("order_id").alias("total_orders"), F.countDistinct("user_id").alias("unique_customers"),
-        x.rnd(x.fixed_sum("order_total"), 2).alias("gross_revenue"),
-        x.rnd(x.fixed_sum(F.col("order_total") - F.col("discount_amount")), 2).alias("net_revenue"),
-        x.rnd(x.fixed_sum("discount_amount"), 2).alias("total_discounts"),
+        x.fixed_sum("order_total").alias("gross_revenue"),
+        x.fixed_sum(F.col("order_total") - F.col("discount_amount")).alias("net_revenue"),
+        x.fixed_sum("discount_amount").alias("total_discounts"),
         x.fixed_avg("order_total").alias("avg_order_value"),
-        x.rnd(x.fixed_sum("shipping_cost"), 2).alias("total_shipping"),
-        x.rnd(x.fixed_sum("tax_amount"), 2).alias("total_tax"))
+        x.fixed_sum("shipping_cost").alias("total_shipping"),
+        x.fixed_sum("tax_amount").alias("total_tax"))
     return out.withColumn("revenue_per_customer", x.ratio("gross_revenue", "unique_customers", 2))
 
 
@@ -143,7 +143,7 @@ def conversion_funnel(fact_clicks: DataFrame, fact_orders: DataFrame, dim_time:
         x.int_avg("time_on_page_seconds", 1).alias("avg_time_on_page"))
     bought = dated(fact_orders.filter(x.is_completed())).groupBy(*keys).agg(
         F.countDistinct("session_id").alias("converting_sessions"), F.count("order_id").alias("orders"),
-        x.rnd(x.fixed_sum("order_total"), 2).alias("revenue"))
+        x.fixed_sum("order_total").alias("revenue"))
     out = join_on(sessions, bought, keys, "left", null_safe).fillna(0, ["converting_sessions", "orders", "revenue"])
     return out.withColumns({
         # per session, so several bounces in a session can pass 100 %
@@ -158,7 +158,7 @@ def payment_analytics(fact_payments: DataFrame, dim_time: DataFrame) -> DataFram
     status = F.col("payment_status")
     out = rows.groupBy("payment_date", "year", "month", "payment_method", "payment_gateway", "payment_status",
                        "failure_reason", "country").agg(
-        F.count("payment_id").alias("transactions"), x.rnd(x.fixed_sum("amount"), 2).alias("volume"),
+        F.count("payment_id").alias("transactions"), x.fixed_sum("amount").alias("volume"),
         x.fixed_avg("amount").alias("avg_amount"), x.int_avg("processing_time_ms", 0).alias("avg_processing_ms"),
         F.count_if("is_3ds_authenticated").alias("authenticated_3ds"),
         F.count_if(status == "success").alias("successful"),
@@ -181,7 +181,7 @@ def hourly_activity(fact_orders: DataFrame, as_of: dt.datetime, days: int = 7) -
     recent = fact_orders.filter(x.is_completed() & (F.col("order_timestamp") >= F.lit(as_of - dt.timedelta(days=days))))
     out = recent.groupBy(F.date_trunc("hour", "order_timestamp").alias("hour_bucket"), "country", "device_type").agg(
         F.count("order_id").alias("orders"), F.countDistinct("user_id").alias("buyers"),
-        x.rnd(x.fixed_sum("order_total"), 2).alias("revenue"), x.fixed_avg("order_total").alias("aov"))
+        x.fixed_sum("order_total").alias("revenue"), x.fixed_avg("order_total").alias("aov"))
     w = (Window.partitionBy("country").orderBy("hour_bucket", "device_type")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return out.withColumn("cumulative_revenue", F.sum(x.units("revenue")).over(w) / 100.0)

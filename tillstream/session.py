@@ -18,6 +18,8 @@ def local_session(app: str = "tillstream", cpus: str | int = "*", shuffle_partit
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # recording the Python call site of every column expression costs more than planning the query
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if memory:
         builder = builder.config("spark.driver.memory", memory)

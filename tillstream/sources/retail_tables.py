@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.functions import domains as d
+from tillstream.functions import exprs as x
 from tillstream.operators import silver
 
 # Fixed values of the derived records
@@ -43,7 +44,12 @@ def _id(prefix: str, col: Column) -> Column:
 
 
 def _cents(col: Column) -> Column:
-    return F.round(col * 100) / 100.0
+    """Rounded to two digits; for values that are not negative."""
+    return F.floor(col * 100 + 0.5) / 100.0
+
+
+def _session(user: Column, ts: str) -> Column:
+    return F.concat(_id("SES-", user), F.lit("-"), x.date_key(ts).cast("string"))
 
 
 def _segment(col: Column) -> Column:
@@ -76,7 +82,7 @@ def raw_orders(spark: SparkSession, folder: str, resend: bool = True, with_custo
     status = (F.when(F.col("copy") == 1, "delivered").when(F.col("o_orderstatus") == "F", "delivered")
               .when(F.col("o_orderstatus") == "O", pick(["confirmed", "shipped", "processing"], k % 3))
               .otherwise(pick(["pending", "cancelled"], k % 2)))
-    total = F.round(F.col("o_totalprice") * 12.5) / 100.0
+    total = F.floor(F.col("o_totalprice") * 12.5 + 0.5) / 100.0
     o = o.withColumns({"order_status": status, "total_amount": total})
     o = o.withColumn("subtotal", _cents(F.col("total_amount") / 1.08))
     if with_customer:
@@ -86,7 +92,7 @@ def raw_orders(spark: SparkSession, folder: str, resend: bool = True, with_custo
     return o.select(
         _id("ORD-", k).alias("order_id"), _id("EVT-O", k).alias("event_id"),
         F.lit("order_placed").alias("event_type"), _id("USR-", u).alias("user_id"),
-        F.concat(_id("SES-", u), F.lit("-"), F.date_format("o_date", "yyyyMMdd")).alias("session_id"),
+        _session(u, "o_date").alias("session_id"),
         (F.col("o_date") + F.make_dt_interval(hours=(k % 24 + F.col("copy")).cast("int"))).alias("event_timestamp"),
         F.when(k % 50 != 0, F.col("n_name")).alias("country"), F.col("r_name").alias("city"),
         pick(DEVICES, k % 3).alias("device_type"), pick(DEVICE_OS, k % 3).alias("device_os"),
@@ -126,7 +132,7 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
         _id("ORD-", F.col("l_orderkey")).alias("order_id"), _id("PRD-", F.col("p_partkey")).alias("product_id"),
         F.col("p_name").alias("product_name"), F.col("p_type").alias("category"), F.col("p_brand").alias("brand"),
         F.col("l_quantity").cast("int").alias("quantity"), unit.alias("unit_price"),
-        F.round(F.col("l_discount") * 100).alias("discount_pct"),
+        F.floor(F.col("l_discount") * 100 + 0.5).cast("double").alias("discount_pct"),
         _cents(unit * (1 - F.col("l_discount"))).alias("final_price"))
 
 
@@ -143,7 +149,7 @@ def _events(spark: SparkSession, folder: str, *types: str) -> DataFrame:
     return _with_customer(e, "u", spark, folder).select(
         "e", "u", "kind", "value", "kk", F.col("ts").alias("event_timestamp"), _id("EVT-", F.col("e")).alias("event_id"),
         _id("USR-", u).alias("user_id"),
-        F.concat(_id("SES-", u), F.lit("-"), F.date_format("ts", "yyyyMMdd")).alias("session_id"),
+        _session(u, "ts").alias("session_id"),
         pick(DEVICES, s % 3).alias("device_type"), pick(DEVICE_OS, s % 3).alias("device_os"),
         F.when(u % 30 != 0, pick(BROWSERS, u % 4)).alias("browser"),
         F.when(u % 50 != 0, F.col("n_name")).alias("country"), F.col("r_name").alias("city"),

@@ -32,7 +32,7 @@ def revenue_per_window(orders: DataFrame, ts: str = "event_timestamp", size: str
                        watermark: str | None = None) -> DataFrame:
     done = _late(orders, ts, watermark).filter(x.is_completed())
     return done.groupBy(F.window(ts, size)).agg(
-        F.count(F.lit(1)).alias("orders"), x.rnd(x.fixed_sum("total_amount"), 2).alias("revenue")).select(
+        F.count(F.lit(1)).alias("orders"), x.fixed_sum("total_amount").alias("revenue")).select(
         F.col("window.start").alias("window_start"), "orders", "revenue")
 
 
