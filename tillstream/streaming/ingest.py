@@ -178,15 +178,20 @@ def process(classified: DataFrame, entity: str, seen: DataFrame | None = None, e
 
 def batch_summary(outcome: Outcome, entity: str, batch_id: int = 0) -> DataFrame:
     """total / valid / failed / duplicate / fraud-flagged counts and the failure rate, as one row."""
-    fraud = F.count_if("is_fraud_flagged") if entity == "payments" else F.lit(0)
-    gone = F.count_if(F.col("action") == "cart_abandoned") if entity == "carts" else F.lit(0)
     zero = F.lit(0).cast("long")
-    seen = outcome.classified.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("reason").isNotNull()).alias("failed"))
-    kept = outcome.accepted.agg(F.count(F.lit(1)).alias("valid"), fraud.cast("long").alias("fraud"),
-                                gone.cast("long").alias("gone"))
-    rows = seen.select("total", "failed", zero.alias("valid"), zero.alias("fraud"), zero.alias("gone")).unionByName(
-        kept.select(zero.alias("total"), zero.alias("failed"), "valid", "fraud", "gone"))
-    s = rows.agg(*[F.sum(c).alias(c) for c in ("total", "failed", "valid", "fraud", "gone")])
+    total, failed = F.count(F.lit(1)).alias("total"), F.count_if(F.col("reason").isNotNull()).alias("failed")
+    if outcome.keys is None:
+        # nothing is dropped after validation, so the classified batch tells everything in one pass
+        passed = F.col("reason").isNull()
+        gone = F.count_if(passed & (F.col("rec.action") == "cart_abandoned")) if entity == "carts" else zero
+        s = outcome.classified.agg(total, failed, F.count_if(passed).alias("valid"), gone.alias("gone")).withColumn("fraud", zero)
+    else:
+        fraud = F.count_if("is_fraud_flagged") if entity == "payments" else zero
+        seen = outcome.classified.agg(total, failed).select("total", "failed", zero.alias("valid"), zero.alias("fraud"))
+        kept = outcome.accepted.agg(F.count(F.lit(1)).alias("valid"), fraud.alias("fraud")).select(
+            zero.alias("total"), zero.alias("failed"), "valid", "fraud")
+        s = seen.unionByName(kept).agg(*[F.sum(c).alias(c) for c in ("total", "failed", "valid", "fraud")]).withColumn(
+            "gone", zero)
     return s.select(
         F.lit(entity).alias("stream"), F.lit(batch_id).cast("long").alias("batch_id"),
         F.col("total").alias("total_records"), F.col("valid").alias("valid_records"),
