@@ -1,7 +1,7 @@
 """Ranks and exact percentiles whose groups may be far larger than one task can hold.
 
 A window over a whole group sends that group to one task. Here every value falls in a magnitude bucket (a fixed,
-order-keeping function of the value, 32 per doubling), windows run per (group, bucket), and a small table of bucket
+order-keeping function of the value, 64 per doubling), windows run per (group, bucket), and a small table of bucket
 totals - at most a few thousand rows per group, whatever the data size - supplies the offsets.
 """
 
@@ -17,7 +17,7 @@ from tillstream.operators.rows import join_on
 
 
 def magnitude_bucket(value: Column) -> Column:
-    size = F.floor(F.log2(F.abs(value)) * 32).cast("int") + 100_000
+    size = F.floor(F.log2(F.abs(value)) * 64).cast("int") + 100_000
     return F.when(value > 0, size).when(value < 0, -size).when(value == 0, 0)
 
 

@@ -29,6 +29,8 @@ def bronze_to_silver(spark: SparkSession, root: str, day: dt.date | None, run_ts
         if day is not None:
             arrived = F.make_date("ingest_year", "ingest_month", "ingest_day")
             raw = raw.filter(arrived >= F.lit(day))
+        if raw.isEmpty():  # looks at the first records only
+            continue
         out = silver.TRANSFORMS[entity](raw.drop("_corrupt_record", *lake.ARRIVAL), run_ts)
         if day is not None:
             out = out.filter(F.to_date("event_timestamp") == F.lit(day))

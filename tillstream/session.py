@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -26,15 +23,3 @@ def local_session(app: str = "tillstream", cpus: str | int = "*", shuffle_partit
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A folder all executors can reach: below ``spark.checkpoint.dir`` where the cluster names one.
-
-    Only where that setting is missing (single-machine tests) a temporary folder is used instead.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="tillstream-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return os.path.join(root, name)

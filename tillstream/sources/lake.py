@@ -7,7 +7,7 @@ import os
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.functions.schemas import BRONZE, struct_of
@@ -75,12 +75,12 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str], r
     (writer.partitionBy(*partition_cols) if partition_cols else writer).parquet(path)
 
 
-def write_silver(df: DataFrame, root: str, entity: str, partition_cols: Sequence[str] = tuple(DAY)) -> bool:
-    """False (and nothing written) for an empty frame."""
-    if df.isEmpty():
-        return False
-    write_partitioned(df, os.path.join(root, "silver", entity), partition_cols)
-    return True
+def write_silver(df: DataFrame, root: str, entity: str, partition_cols: Sequence[str] = tuple(DAY)) -> int:
+    """Write a silver frame and return its row count, which Spark observes during the write (no extra pass)."""
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    write_partitioned(counted, os.path.join(root, "silver", entity), partition_cols)
+    return seen.get["rows"]
 
 
 def read_silver(spark: SparkSession, root: str, entity: str, day: dt.date | None = None) -> DataFrame:
