@@ -540,12 +540,12 @@ _NEGATIVE = "(e % 71 = 0)"
 _FAILS = {
     "orders": [("not_null.user_id", "completeness", "CRITICAL", _NO_USER),
                ("not_null.currency", "completeness", "HIGH", _NO_KEY),
-               ("positive.total_amount", "validity", "CRITICAL", _NEGATIVE),
+               ("positive.total_amount", "validity", "CRITICAL", f"({_NEGATIVE} OR total_amount = 0)"),
                ("valid_enum.currency", "validity", "MEDIUM", f"({_NO_KEY} OR {_BAD_CODE})"),
                ("valid_timestamp.event_timestamp", "validity", "HIGH", _BAD_TIME),
                ("format.user_id", "consistency", "MEDIUM", _NO_USER)],
     "payments": [("not_null.order_id", "completeness", "CRITICAL", "(order_id IS NULL)"),
-                 ("positive.amount", "validity", "CRITICAL", _NEGATIVE),
+                 ("positive.amount", "validity", "CRITICAL", f"({_NEGATIVE} OR amount = 0)"),
                  ("valid_enum.payment_status", "validity", "HIGH", _BAD_CODE),
                  ("valid_timestamp.event_timestamp", "validity", "HIGH", _BAD_TIME)],
     "clickstream": [("valid_enum.page_type", "validity", "LOW", _NO_KEY),
@@ -617,6 +617,7 @@ _RULES = {
         (_NO_USER, "'Schema error: Null values in required fields: user_id'"),
         ("(country IS NULL)", "'Schema error: Null values in required fields: country'"),
         (_NEGATIVE, "'Business rule: Invalid total_amount: -' || CAST(total_amount AS VARCHAR)"),
+        ("(total_amount = 0)", "'Business rule: Invalid total_amount: 0.0'"),
         (_BAD_CODE, "'Business rule: Unsupported currency: XYZ'"),
         (_BAD_TIME, "'Business rule: Invalid event_timestamp: not-a-time'")]),
     "payments": ("raw_payments", [
@@ -626,6 +627,7 @@ _RULES = {
         (_NO_USER, "'Schema: Null required fields: user_id'"),
         ("(order_id IS NULL)", "'Schema: Null required fields: order_id'"),
         (_NEGATIVE, "'Validation: Invalid amount: -' || CAST(amount AS VARCHAR)"),
+        ("(amount = 0)", "'Validation: Invalid amount: 0.0'"),
         (_BAD_CODE, "'Validation: Invalid status: XYZ'"),
         (_BAD_TIME, "'Validation: Invalid timestamp: not-a-time'")]),
     "clickstream": ("raw_clicks", [
