@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import op2_bpe, op5_quality, op9_langid, op10_substring
+from tillstream.llm import op2_bpe, op5_quality, op8_jaccard, op9_langid, op10_substring
 from tillstream.llm.scratch import ship
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -30,6 +30,11 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                           "n_repeat_words")], "base_failed", "kept")
 
 
+def jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = op8_jaccard.numbered(table(spark, sf_dir, "documents"), "doc_id", F.col("text"))
+    return op8_jaccard.joined(docs).withColumnRenamed("doc", "doc_id")
+
+
 def language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -47,6 +52,7 @@ def substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_bpe": bpe,
     "op5_quality": quality,
+    "op8_jaccard": jaccard,
     "op9_language": language,
     "op10_substring": substring,
 }
