@@ -24,7 +24,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -170,33 +169,45 @@ def common(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return of.astype(np.int64)
 
 
-def block_links(rep_type: str, percent: int):
-    """Links of a task's probing members with its listed ones: at most one for each connected pair of groups."""
+def forest(links: np.ndarray) -> tuple[list[int], list[int]]:
+    """Rows and columns of as many of the links as are needed to connect what all of them connect."""
+    rows, _ = links.shape
+    group = list(range(sum(links.shape)))
+
+    def root(i: int) -> int:
+        while group[i] != i:
+            group[i] = group[group[i]]
+            i = group[i]
+        return i
+
+    out: tuple[list[int], list[int]] = ([], [])
+    for i, j in zip(*(x.tolist() for x in np.nonzero(links))):
+        a, b = root(i), root(rows + j)
+        if a != b:
+            group[a] = b
+            out[0].append(i)
+            out[1].append(j)
+    return out
 
-    def of(pdf: pd.DataFrame) -> pd.DataFrame:
-        probes, listed = pdf[pdf["probe"]], pdf[~pdf["probe"]]
-        out: list[tuple] = []
-        if len(probes) and len(listed):
-            d, e = [np.asarray(x, np.int64) for x in probes["diff"]], [np.asarray(x, np.int64) for x in listed["diff"]]
-            differ = np.array([len(x) for x in d])[:, None] + np.array([len(x) for x in e]) - 2 * common(d, e)
-            links = similar(probes["n"].to_numpy()[:, None], listed["n"].to_numpy(), differ, percent)
-            group = np.arange(len(d) + len(e))  # joined sets; a forest of the links says as much as all of them
 
-            def root(i: int) -> int:
-                while group[i] != i:
-                    group[i] = group[group[i]]
-                    i = group[i]
-                return i
+def block_links(percent: int):
+    """Links of a task's probing members with its listed ones, as a forest."""
 
-            reps, others = probes["rep"].tolist(), listed["rep"].tolist()
-            for i, j in zip(*np.nonzero(links)):
-                a, b = root(i), root(len(d) + j)
-                if a != b:
-                    group[a] = b
-                    out.append((reps[i], others[j]))
-        return pd.DataFrame({"u": [u for u, _ in out], "v": [v for _, v in out]})
+    def of(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        is_probe = table["probe"].to_numpy()
+        sides = [table.filter(pa.array(m)).combine_chunks() for m in (is_probe, ~is_probe)]
+        picked: tuple[list[int], list[int]] = ([], [])
+        if all(len(side) for side in sides):
+            sizes = [side["n"].to_numpy() for side in sides]
+            diffs = [[d.values.to_numpy() for d in side["diff"]] for side in sides]
+            far = [np.array([len(d) for d in ds], np.int64) for ds in diffs]
+            differ = far[0][:, None] + far[1] - 2 * common(*diffs)
+            picked = forest(similar(sizes[0][:, None], sizes[1], differ, percent))
+        u, v = (side["rep"].take(pa.array(p, pa.int64())) for side, p in zip(sides, picked))
+        return pa.table({"u": u, "v": v})
 
-    return of, f"u {rep_type}, v {rep_type}"
+    return of
 
 
 def family_links(diffs: DataFrame, percent: int) -> DataFrame:
@@ -231,8 +242,8 @@ def family_links(diffs: DataFrame, percent: int) -> DataFrame:
                .select("family", "p", "block", "rep", "n", "diff", F.lit(True).alias("probe")))
     listing = (placed.join(tasks, ["family", "block"])
                .select("family", "p", "block", "rep", "n", "diff", F.lit(False).alias("probe")))
-    of, schema = block_links(diffs.schema["rep"].dataType.simpleString(), percent)
-    found = probing.unionByName(listing).groupBy("family", "p", "block").applyInPandas(of, schema)
+    rep = diffs.schema["rep"].dataType.simpleString()
+    found = probing.unionByName(listing).groupBy("family", "p", "block").applyInArrow(block_links(percent), f"u {rep}, v {rep}")
     return star.unionByName(found)
 
 
