@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import op2_bpe, op5_quality, op8_jaccard, op9_langid, op10_substring
+from tillstream.llm import op1_shards, op2_bpe, op4_decontaminate, op5_quality, op8_jaccard, op9_langid, op10_substring
 from tillstream.llm.scratch import ship
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -17,12 +17,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = op1_shards.sharded(table(spark, sf_dir, "documents"))
+    return found.select(F.col("doc").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"), "group_rows")
+
+
 def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     of = op2_bpe.digests(spark, F.col("text"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
     return docs.select("doc_id", of.alias("d")).select("doc_id", "d.*")
 
 
+def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return op4_decontaminate.contaminated(docs, items, ["doc_id"]).withColumnRenamed("item", "item_id")
+
+
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     m = op5_quality.judged(docs).select("doc_id", "quality.*")
@@ -50,7 +61,9 @@ def substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_shards": shards,
     "op2_bpe": bpe,
+    "op4_decontaminate": decontaminate,
     "op5_quality": quality,
     "op8_jaccard": jaccard,
     "op9_language": language,
