@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import op1_shards, op2_bpe, op4_decontaminate, op5_quality, op8_jaccard, op9_langid, op10_substring
+from tillstream.llm import (op1_shards, op2_bpe, op3_chat, op4_decontaminate, op5_quality, op6_licences, op7_warc,
+                            op8_jaccard, op9_langid, op10_substring)
 from tillstream.llm.scratch import ship
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -29,6 +30,14 @@ def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", of.alias("d")).select("doc_id", "d.*")
 
 
+def chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    part = op3_chat.transcript_part(*(F.col(c) for c in ("conv_id", "turn", "role", "text")))
+    parts = rows.select(F.col("conv_id").alias("conv"), F.col("turn").alias("part"), "role", part.alias("text"))
+    found = op3_chat.parsed(parts.drop("role"), op3_chat.fit(parts))
+    return found.withColumnRenamed("conv", "conv_id")
+
+
 def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
     return op4_decontaminate.contaminated(docs, items, ["doc_id"]).withColumnRenamed("item", "item_id")
@@ -41,6 +50,16 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                           "n_repeat_words")], "base_failed", "kept")
 
 
+def licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return op6_licences.scan(docs, op6_licences.fit(docs)).select("doc_id", "licence.*")
+
+
+def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = op7_warc.responses(table(spark, sf_dir, "pages"), "page_id", F.col("url"), F.col("html"))
+    return op7_warc.derived(pages).withColumnRenamed("source", "page_id")
+
+
 def jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = op8_jaccard.numbered(table(spark, sf_dir, "documents"), "doc_id", F.col("text"))
     return op8_jaccard.joined(docs).withColumnRenamed("doc", "doc_id")
@@ -63,8 +82,11 @@ def substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_shards": shards,
     "op2_bpe": bpe,
+    "op3_chat": chat,
     "op4_decontaminate": decontaminate,
     "op5_quality": quality,
+    "op6_licences": licences,
+    "op7_warc": warc,
     "op8_jaccard": jaccard,
     "op9_language": language,
     "op10_substring": substring,
