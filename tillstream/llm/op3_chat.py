@@ -85,11 +85,11 @@ def fit(turns: DataFrame) -> Model:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: dict[tuple[str, int, int], int] = {}
         for batch in batches:
-            for role, before, blank, text in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            for role, before, many, blank, text in zip(*(batch.column(k).to_pylist() for k in range(5))):
                 if role not in ROLES:
                     continue
                 state = 2 * ROLES.index(role)
-                last = 2 * ROLES.index(before) if before in ROLES else -1
+                last = 2 * ROLES.index(before) + bool(many) if before in ROLES else -1
                 for i, (symbol, _) in enumerate(observed(text, bool(blank))):
                     now = state + (i > 0)
                     for key in (("show", now, symbol), ("start", now, 0) if last < 0 else ("move", last, now)):
@@ -101,8 +101,9 @@ def fit(turns: DataFrame) -> Model:
 
     # the turn before is looked up by its number, so that no window has to hold a conversation
     previous = turns.groupBy("conv", (F.col("part") + 1).alias("part")).agg(
-        F.min("role").alias("before"), F.max(F.col("text").endswith("\n")).alias("blank"))
-    rows = turns.join(previous, ["conv", "part"], "left").select("role", "before", "blank", "text")
+        F.min("role").alias("before"), F.max(F.col("text").contains("\n")).alias("many"),
+        F.max(F.col("text").endswith("\n")).alias("blank"))
+    rows = turns.join(previous, ["conv", "part"], "left").select("role", "before", "many", "blank", "text")
     counts = rows.mapInArrow(counted, "kind string, a int, b int, n long").groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
     tables = {"start": np.zeros(2 * len(ROLES)), "move": np.zeros((2 * len(ROLES),) * 2), "show": np.zeros((2 * len(ROLES), FEATURES))}
     for kind, a, b, n in counts.collect():  # as many as the model has parameters
