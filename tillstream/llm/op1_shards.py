@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tillstream.llm.scratch import written
 
 SHARDS = 24
-ROUNDS = 6
+ROUNDS = 10
 BUCKET_ROWS = 50_000
 GROUP = ["g1", "g2"]
 
@@ -63,7 +63,7 @@ def propagated(linked: DataFrame, capacity: list[int], rounds: int) -> DataFrame
                   "labels")
     for _ in range(rounds):
         votes = now.groupBy(*GROUP, "shard").agg(F.count(F.lit(1)).alias("n"))
-        target = written(votes.groupBy(*GROUP).agg(F.max_by("shard", F.struct("n", -F.col("shard"))).alias("to")), "targets")
+        target = written(votes.groupBy(*GROUP).agg(F.max_by("shard", F.struct("n", F.xxhash64(*GROUP, "shard"))).alias("to")), "targets")
         asked = written(now.join(target, GROUP), "asked")
         moving = asked.where("shard <> to")
         moves = {(r[0], r[1]): r[2] for r in moving.groupBy("shard", "to").count().collect()}
