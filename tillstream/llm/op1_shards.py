@@ -2,7 +2,7 @@
 
 Documents with equal texts are linked. Linked documents start dealt evenly over the shards. In each round every
 group looks where most of its members are, and the others ask to move there. What moves is bounded by quotas for each pair of
-shards: as many from A to B as from B to A, and what room B has left. So no shard ever has more linked
+shards: exchanges along rings of shards (A to B, B to C, C to A), and what room B has left. So no shard ever has more linked
 documents than its share of all documents. Documents without links then fill the shards to their exact counts.
 
 Ranks are taken within (key, hash bucket), with the totals of the buckets before; no window ever holds a whole shard or group.
@@ -39,14 +39,32 @@ def ranked(df: DataFrame, keys: list[str], rows: int, into: str) -> DataFrame:
 
 
 def quotas(moves: dict[tuple[int, int], int], room: list[int]) -> list[int]:
-    """How many may move from A to B, at place A * shards + B: pairwise exchange, then what room is left."""
+    """How many may move from A to B, at place A * shards + B: exchanges along rings of shards, which leave every count
+    as it is, then what room is left."""
     shards, room = len(room), list(room)
     out = [0] * (shards * shards)
-    for (a, b), n in sorted(moves.items()):
-        swap = min(n, moves.get((b, a), 0))
-        more = min(n - swap, room[b])
-        room[b] -= more
-        out[a * shards + b] = swap + more
+    left = {a: {b: n for (x, b), n in sorted(moves.items()) if x == a} for a in range(shards)}
+    ended: set[int] = set()  # shards from which no ring goes on
+    for start in range(shards):
+        path = [start]
+        while path and start not in ended:
+            onward = next((b for b, n in left[path[-1]].items() if n and b not in ended), None)
+            if onward is None:
+                ended.add(path.pop())
+            elif onward not in path:
+                path.append(onward)
+            else:
+                ring = [*path[path.index(onward):], onward]
+                least = min(left[a][b] for a, b in zip(ring, ring[1:]))
+                for a, b in zip(ring, ring[1:]):
+                    left[a][b] -= least
+                    out[a * shards + b] += least
+                path = [start]
+    for a in range(shards):
+        for b, n in left[a].items():
+            more = min(n, room[b])
+            room[b] -= more
+            out[a * shards + b] += more
     return out
 
 

@@ -166,7 +166,7 @@ def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Classifier
     lines = lines.select(F.substring("p", 1, 4000).alias("p"), F.xxhash64("p").alias("h")).orderBy("h", "p").limit(sample)
     known = set(names)
     return Classifier([r["p"] for r in lines.collect()
-                       if not known & {" ".join(x) for x in pairs(words_of(r["p"]))}])
+                       if words_of(r["p"]) and not known & {" ".join(x) for x in pairs(words_of(r["p"]))}])
 
 
 def scan(docs: DataFrame, classifier: Classifier, text: str = "text", into: str = "licence") -> DataFrame:
