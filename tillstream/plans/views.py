@@ -78,11 +78,12 @@ def revenue_delta_30d(fact_orders: DataFrame, dim_time: DataFrame, days: int = 3
 
 def _category_sales(fact_orders: DataFrame, keys: list[str]) -> DataFrame:
     """Per category: what the category join needs, small before products are attached."""
-    per_item = F.round(F.col("order_total") * 1e6 / F.nullif(F.col("item_count"), F.lit(0))).cast("long")
+    # summed as decimals: as longs, some hundred million large orders of a category would overflow
+    per_item = F.round(F.col("order_total") * 1e6 / F.nullif(F.col("item_count"), F.lit(0))).cast("decimal(20,0)")
     return fact_orders.groupBy(F.col("primary_category").alias("category"), *keys).agg(
         F.count("order_id").alias("order_count"), F.sum("item_count").alias("units_sold"),
         x.fixed_sum("order_total").alias("total_revenue"),
-        x.rnd(F.sum(per_item) / 1e6 / F.nullif(F.count(per_item), F.lit(0)), 2).alias("avg_item_price"),
+        x.rnd(F.sum(per_item).cast("double") / 1e6 / F.nullif(F.count(per_item), F.lit(0)), 2).alias("avg_item_price"),
         x.fixed_avg("effective_discount_pct").alias("avg_discount_pct")).filter(F.col("category").isNotNull())
 
 
