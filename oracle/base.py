@@ -69,6 +69,9 @@ def _parts(ts: str = "event_timestamp") -> str:
             f"CAST(hour({ts}) AS INT) AS hour")
 
 
+_CATALOG = "(SELECT greatest(count(*), 1) FROM part)"
+
+
 def _product(p: str) -> str:
     return (f"'PRD-' || ({p}) AS product_id, 'Item ' || ({p}) AS product_name, "
             f"{elt(_CATEGORIES, f'({p}) % 8')} AS category, 'Brand ' || (({p}) % 25) AS brand, "
@@ -176,7 +179,7 @@ ENTITIES["raw_clicks"] = f"""
          CASE WHEN e % 40 <> 0 THEN e % 3 = 0 END AS is_bounce, CAST(e * 37 % 5000 AS INT) AS load_time_ms,
          CAST({elt('375,768,1280,1440,1920', 'e % 5')} AS INT) AS viewport_width,
          {elt('control,variant_a,variant_b', 'e % 3')} AS ab_test_variant
-  FROM (SELECT *, {_product('e % 500')},
+  FROM (SELECT *, {_product(f'e % {_CATALOG}')},
                {elt('home,category,product_detail,search_results,cart,checkout,order_confirmation,account,wishlist', 'e % 9')}
                  AS page_type,
                {elt('laptop,shoes,shirt,headphones,phone,camera,watch,bag,book,game', 'e % 10')} AS term
@@ -203,7 +206,7 @@ ENTITIES["raw_carts"] = f"""
   SELECT {_SESSION}, 'cart_event' AS event_type, 'CRT-' || u AS cart_id,
          CASE WHEN kind = 'click' THEN 'item_added'
               ELSE {elt('item_removed,quantity_updated,cart_viewed,cart_abandoned,cart_saved', 'e % 5')} END AS action,
-         {_product('e % 500')}, CAST(1 + e % 10 AS INT) AS quantity, value AS cart_total,
+         {_product(f'e % {_CATALOG}')}, CAST(1 + e % 10 AS INT) AS quantity, value AS cart_total,
          CAST(1 + e % 12 AS INT) AS cart_item_count
   FROM ev WHERE kind IN ('click', 'view')"""
 
@@ -260,7 +263,7 @@ ENTITIES["silver_orders_ev"] = _silver_orders("raw_orders_ev", "", "", "item_cou
 
 ENTITIES["items_ev"] = f"""
   SELECT *, round(unit_price * (100 - discount_pct) / 100 * 100) / 100 AS final_price
-  FROM (SELECT 'ORD-E' || e AS order_id, {_product('(e + j * 7) % 500')}, CAST(1 + (e + j) % 5 AS INT) AS quantity,
+  FROM (SELECT 'ORD-E' || e AS order_id, {_product(f'(e + j * 7) % {_CATALOG}')}, CAST(1 + (e + j) % 5 AS INT) AS quantity,
                ((e + j) % 6) * 5.0::DOUBLE AS discount_pct, j
         FROM ev CROSS JOIN (VALUES (0), (1), (2)) v(j) WHERE kind = 'purchase' AND j <= e % 3)"""
 

@@ -534,6 +534,7 @@ _NO_KEY = "(e % 89 = 0)"
 _NO_USER = "(e % 83 = 0)"
 _BAD_CODE = "(e % 79 = 0)"
 _BAD_TIME = "(e % 73 = 0)"
+_BAD_TEXT = elt("not-a-time,2024,2024-01,10:30", "(e // 73) % 4")
 _NEGATIVE = "(e % 71 = 0)"
 
 # entity -> [(check, category, severity, fails when)], only checks that can fail on these records
@@ -599,10 +600,10 @@ add("dq_category_failures", "SELECT entity, category, CAST(sum(failures) AS BIGI
 add("dq_top_failures", "SELECT entity, check_name, failures FROM failures WHERE entity = 'orders' AND failures > 0 "
     "ORDER BY failures DESC, check_name LIMIT 5", failures=_FAILURES)
 add("dq_pass_rate_series", f"""
-SELECT 'orders' AS entity, time_bucket(INTERVAL 5 MINUTE, event_timestamp) AS window_start, count(*) AS records,
-       {pct(cnt_if("dq_status = 'PASS'"), 'count(*)')} AS pass_rate_pct, {cnt_if('critical')} AS critical_failures,
+SELECT 'orders' AS entity, time_bucket(INTERVAL 5 MINUTE, event_timestamp + to_minutes(CAST(e % 7 AS BIGINT))) AS window_start,
+       count(*) AS records, {pct(cnt_if("dq_status = 'PASS'"), 'count(*)')} AS pass_rate_pct, {cnt_if('critical')} AS critical_failures,
        {r("CAST(SUM(CAST(ROUND(dq_score * 10000) AS BIGINT)) AS DOUBLE) / 10000 / count(*)", 4)} AS avg_quality_score
-FROM reports WHERE NOT {_BAD_TIME} GROUP BY ALL""", reports=_reports("orders"))
+FROM reports GROUP BY ALL""", reports=_reports("orders"))
 
 _PARTS = ("CAST(year(t) AS INT) AS year, CAST(month(t) AS INT) AS month, CAST(day(t) AS INT) AS day, "
           "CAST(hour(t) AS INT) AS hour")
@@ -619,7 +620,7 @@ _RULES = {
         (_NEGATIVE, "'Business rule: Invalid total_amount: -' || CAST(total_amount AS VARCHAR)"),
         ("(total_amount = 0)", "'Business rule: Invalid total_amount: 0.0'"),
         (_BAD_CODE, "'Business rule: Unsupported currency: XYZ'"),
-        (_BAD_TIME, "'Business rule: Invalid event_timestamp: not-a-time'")]),
+        (_BAD_TIME, "'Business rule: Invalid event_timestamp: ' || " + _BAD_TEXT)]),
     "payments": ("raw_payments", [
         ("e % 97 = 0", "'JSON decode error'"),
         (_NO_KEY, "'Schema: Missing fields: currency'"),
@@ -629,7 +630,7 @@ _RULES = {
         (_NEGATIVE, "'Validation: Invalid amount: -' || CAST(amount AS VARCHAR)"),
         ("(amount = 0)", "'Validation: Invalid amount: 0.0'"),
         (_BAD_CODE, "'Validation: Invalid status: XYZ'"),
-        (_BAD_TIME, "'Validation: Invalid timestamp: not-a-time'")]),
+        (_BAD_TIME, "'Validation: Invalid timestamp: ' || " + _BAD_TEXT)]),
     "clickstream": ("raw_clicks", [
         ("e % 97 = 0", "'JSON decode error'"), (_NO_KEY, "'Missing: page_type'"), (_BAD_TIME, "'Invalid timestamp'")]),
     "carts": ("raw_carts", [
@@ -708,6 +709,6 @@ add("dlq_redrive", "SELECT 'EVT-' || event_id AS event_id, ts AS arrival_ts FROM
 add("cart_abandonment", f"""
 SELECT event_id, '{{' || CASE WHEN e % 83 <> 0 THEN '"user_id":"' || user_id || '",' ELSE '' END || '"session_id":"' || session_id
        || '","cart_id":"' || cart_id || '","cart_total":' || CAST(cart_total AS VARCHAR) || ',"abandoned_at":"'
-       || CASE WHEN {_BAD_TIME} THEN 'not-a-time' ELSE strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' END || '"'
+       || CASE WHEN {_BAD_TIME} THEN {_BAD_TEXT} ELSE strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' END || '"'
        || CASE WHEN country IS NOT NULL THEN ',"country":"' || country || '"' ELSE '' END || '}}' AS message
 FROM judged WHERE reason IS NULL AND action = 'cart_abandoned'""", judged=_judged("carts", True))

@@ -1,5 +1,6 @@
 """What the plans must look like to hold at scale: no pair products, early cuts for hot keys, pruned scans."""
 
+import datetime as dt
 import re
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from tillstream.operators import gold
 from tillstream.operators.ranking import exact_percentiles, with_rank
 from tillstream.operators.rows import deduplicate
+from tillstream.plans import dashboards, views
 from tillstream.registry import QUERIES
 
 
@@ -75,3 +77,17 @@ def test_an_order_with_a_third_of_all_items_is_split(spark, small_joins_shuffle)
     assert df.agg(F.sum("n")).first()[0] == n
     df.collect()
     assert "SortMergeJoin(skew=true)" in plan(df)
+
+
+def test_days_outside_the_calendar_stay(spark):
+    cols = "order_id string, date_key int, order_timestamp timestamp, country string, order_status string, order_total double"
+    fact = spark.createDataFrame([("a", 20310305, dt.datetime(2031, 3, 5), "US", "delivered", 5.0)], cols)
+    assert [r.order_date for r in views.revenue_delta_30d(fact).collect()] == ["2031-03-05"]
+    calendar = gold.dim_time(spark, dt.date(2024, 1, 1), dt.date(2024, 1, 3))
+    assert [(r.order_date, r.revenue_7d_avg) for r in dashboards.revenue_7d_avg(fact, calendar).collect()] == [("2031-03-05", 5.0)]
+
+
+def test_histogram_width(spark):
+    df = spark.createDataFrame([(0.95,), (0.9,), (0.3,), (0.29,)], "v double")
+    got = {r.bucket: r.n for r in dashboards.histogram(df, "v", 0.3, "n").collect()}
+    assert got == {0.9: 2, 0.3: 1, 0.0: 1}

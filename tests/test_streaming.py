@@ -44,7 +44,9 @@ def without(record, *keys):
     ({**ORDER, "items": ORDER["items"] * 51}, "Business rule: Unrealistic item count: 102"),
     ({**ORDER, "currency": "XYZ"}, "Business rule: Unsupported currency: XYZ"),
     ({**ORDER, "event_timestamp": "2024-01-06T08:00:00Z"}, None),
-    ({**ORDER, "event_timestamp": "yesterday"}, "Business rule: Invalid event_timestamp: yesterday")])
+    ({**ORDER, "event_timestamp": "2024-01-06"}, None), ({**ORDER, "event_timestamp": "2024-01-06 08:00:00.5+02:00"}, None),
+    *[({**ORDER, "event_timestamp": t}, f"Business rule: Invalid event_timestamp: {t}")
+      for t in ("yesterday", "2024", "2024-01", "10:30", "2024-13-06")]])
 def test_order_rules(spark, record, expected):
     assert reason(spark, record) == expected
 
@@ -138,6 +140,58 @@ def test_key_expires_after_a_day(spark, tmp_path):
     assert [(r.valid_records, r.duplicate_records) for r in got] == [(1, 0), (0, 1), (1, 0)]
 
 
+RECORDS = {
+    "orders": [{**ORDER, "event_id": f"EVT-{i}", "order_id": f"ORD-{i}"} for i in range(4)],
+    "payments": [dict(event_id=f"EVT-{i}", payment_id=f"PAY-{i}", order_id="ORD-1", user_id="USR-1", amount=10.0, currency="USD",
+                      payment_status="success", payment_method="paypal", event_timestamp="2024-01-06T08:00:00Z") for i in range(4)],
+    "clickstream": [dict(event_id=f"EVT-{i}", session_id="S", user_id="U", page_type="home",
+                         event_timestamp="2024-01-06T08:00:00Z") for i in range(4)],
+    "carts": [dict(event_id=f"EVT-{i}", session_id="S", user_id="U", cart_id="C", action="item_added", product_id="P", unit_price=2.5,
+                   quantity=1, event_timestamp="2024-01-06T08:00:00Z") for i in range(4)]}
+
+
+@pytest.mark.parametrize("entity", ingest.ENTITIES)
+def test_a_new_checkpoint_loses_nothing(spark, tmp_path, entity):
+    """Started anew, batches count from 0 again: the old output stays, known orders and payments are still known."""
+    lakes, records = f"{tmp_path}/lake", RECORDS[entity]
+    for n, part in enumerate([records[:2], records[1:]]):
+        batch(spark, *part).coalesce(1).write.parquet(f"{tmp_path}/in{n}")
+        for _ in range(2):  # the second start with the same checkpoint finds nothing new
+            q = jobs.start_ingest(jobs.payload_stream(spark, f"{tmp_path}/in{n}"), entity, lakes, f"{tmp_path}/cp{n}")
+            q.awaitTermination(120)
+            assert q.exception() is None
+    ids = sorted(r.event_id for r in lake.read_bronze(spark, lakes, entity).select("event_id").collect())
+    twice = [] if entity in ingest.DEDUP_KEYS else ["EVT-1"]
+    assert ids == sorted(["EVT-0", "EVT-1", "EVT-2", "EVT-3"] + twice)
+    assert spark.read.parquet(f"{lakes}/summaries/{entity}").agg(F.sum("total_records")).first()[0] == 5
+
+
+def test_key_folders_opened_do_not_grow(spark, tmp_path):
+    lakes, opened = f"{tmp_path}/lake", []
+    for day in range(4):
+        at = T0 + dt.timedelta(days=day)
+        jobs.process_batch(batch(spark, {**ORDER, "order_id": f"ORD-{day}"}, at=at), day, "orders", lakes)
+        near = (at.date() - dt.timedelta(days=1), at.date() + dt.timedelta(days=1))
+        opened.append(len(jobs.seen_keys(spark, lakes, "orders", at, at, near, "other", 0).inputFiles()))
+    assert opened == [1, 2, 2, 2]
+    assert jobs.expire_keys(spark, lakes, "orders", T0 + dt.timedelta(days=3)) == ["seen_date=2024-01-06", "seen_date=2024-01-07"]
+    assert spark.read.parquet(f"{lakes}/keys/orders").count() == 2
+
+
+def test_redrive_ends_in_bronze_once(spark, tmp_path):
+    lakes = f"{tmp_path}/lake"
+    letter = [(json.dumps(ORDER), "S3 write failed: x", T0, "orders", "prod", dt.date(2024, 1, 6))]
+    (spark.createDataFrame(letter, "original_record string, reason string, failed_at timestamp, stream string, environment string, "
+                                   "failed_date date").withColumns({"run_id": F.lit("run-0"), "batch_id": F.lit(0)})
+     .write.partitionBy("failed_date", "run_id", "batch_id").parquet(f"{lakes}/dlq/orders"))
+    for _ in range(2):
+        jobs.start_triage(spark, lakes, "orders", f"{tmp_path}/cp/triage").awaitTermination(120)
+        q = jobs.start_redrive(spark, lakes, "orders", f"{tmp_path}/cp/redrive")
+        q.awaitTermination(120)
+        assert q.exception() is None
+    assert [r.order_id for r in lake.read_bronze(spark, lakes, "orders").select("order_id").collect()] == ["ORD-1"]
+
+
 def test_state_store_dedup(spark, tmp_path):
     rows = [("a", T0), ("a", T0), ("b", T0)]
     spark.createDataFrame(rows, "k string, arrival_ts timestamp").write.parquet(f"{tmp_path}/in")

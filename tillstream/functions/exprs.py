@@ -63,6 +63,26 @@ def divide_or_zero(num, den) -> Column:
     return F.coalesce(F.try_divide(_c(num), _c(den)), F.lit(0.0))
 
 
+# ---- time texts and the calendar ------------------------------------------------------------
+
+# Fixed value: a date, or a date and a time of day with optional seconds, fraction and offset
+ISO_TIME = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?\z"
+
+
+def iso_timestamp(col) -> Column:
+    """Timestamp of an ISO text, else null. Spark's own parser would also take a bare year, or a time as one of today."""
+    text = _c(col).cast("string")
+    return F.when(text.rlike(ISO_TIME), F.try_to_timestamp(text))
+
+
+def calendar_parts(day) -> dict[str, Column]:
+    """The columns of the calendar as functions of a date."""
+    day = _c(day)
+    return {"date_key": date_key(day), "full_date": day.cast("string"), "year": F.year(day), "month": F.month(day),
+            "day": F.dayofmonth(day), "week_of_year": F.weekofyear(day), "day_name": F.date_format(day, "EEEE"),
+            "month_name": F.date_format(day, "MMMM"), "quarter": F.quarter(day), "is_weekend": is_weekend(day)}
+
+
 # ---- order, payment, click, cart labels ----------------------------------------------------
 
 def is_completed(status="order_status") -> Column:

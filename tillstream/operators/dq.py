@@ -76,7 +76,7 @@ def valid_enum(field: str, allowed: Sequence[str], severity: str = MEDIUM) -> DQ
 
 
 def _as_ts(field: str) -> Column:
-    return F.try_to_timestamp(F.col(field).cast("string"))
+    return x.iso_timestamp(field)
 
 
 def valid_timestamp(field: str) -> DQCheck:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -96,9 +97,9 @@ def revenue_7d_avg(fact_orders: DataFrame, dim_time: DataFrame, days: int = 7) -
     daily = _daily(fact_orders)
     on = F.unix_date("order_date")
     w = Window.orderBy(on).rangeBetween(-(days - 1), 0)
-    calendar = F.broadcast(dim_time.select(F.col("full_date").cast("date").alias("order_date")))
-    # one row per calendar day from here on: a small, bounded frame
-    dense = daily.join(calendar, "order_date", "right")
+    calendar = dim_time.select(F.col("full_date").cast("date").alias("order_date"))
+    # one row per day of the calendar or with sales outside it: a small, bounded frame
+    dense = daily.join(calendar, "order_date", "full_outer")
     mean = F.sum(x.units("revenue")).over(w) / 100.0 / F.nullif(F.count("revenue").over(w), F.lit(0))
     return dense.withColumn("revenue_7d_avg", x.rnd(mean, 2)).filter(F.col("revenue_7d_avg").isNotNull()).select(
         F.col("order_date").cast("string").alias("order_date"), "revenue", "revenue_7d_avg")
@@ -141,8 +142,8 @@ def revenue_heatmap(fact_orders: DataFrame) -> DataFrame:
 
 def histogram(df: DataFrame, col: str, width: float, name: str) -> DataFrame:
     """Counts in buckets of fixed width, labelled by their lower edge."""
-    per_unit = round(1 / width) if width < 1 else None
-    edge = F.floor(F.col(col) * per_unit) / float(per_unit) if per_unit else F.floor(F.col(col) / width) * float(width)
+    step = F.lit(Decimal(str(width)))
+    edge = F.floor(F.col(col).cast("decimal(28,8)") / step) * step  # as decimals, so that edges belong to their bucket
     return df.groupBy(edge.cast("double").alias("bucket")).agg(F.count(F.lit(1)).alias(name))
 
 

@@ -31,7 +31,7 @@ def bronze_to_silver(spark: SparkSession, root: str, day: dt.date | None, run_ts
             raw = raw.filter(arrived >= F.lit(day))
         if raw.isEmpty():  # looks at the first records only
             continue
-        out = silver.TRANSFORMS[entity](raw.drop("_corrupt_record", *lake.ARRIVAL), run_ts)
+        out = silver.TRANSFORMS[entity](raw.drop("_corrupt_record", *lake.ARRIVAL, "run_id", "batch_id"), run_ts)
         if day is not None:
             out = out.filter(F.to_date("event_timestamp") == F.lit(day))
         if lake.write_silver(out, root, entity):

@@ -1,4 +1,4 @@
-"""The warehouse views. Facts carry device_type and country; date parts come from the calendar table."""
+"""The warehouse views. Facts carry device_type and country; date parts come from the calendar's rules."""
 
 from __future__ import annotations
 
@@ -12,29 +12,26 @@ from tillstream.operators.ranking import exact_percentiles, with_rank
 from tillstream.operators.rows import join_on
 
 
-def calendar_join(fact: DataFrame, dim_time: DataFrame, *cols: str) -> DataFrame:
-    """Inner join with the calendar. It has one row per day of a checked range, so it is broadcast."""
-    parts = dim_time.select("date_key", *[F.col(c).alias(f"_t_{c}") for c in cols])
-    out = fact.drop(*[c for c in cols if c in fact.columns]).join(F.broadcast(parts), "date_key")
-    return out.withColumnsRenamed({f"_t_{c}": c for c in cols})
+def on_calendar(fact: DataFrame, *cols: str) -> DataFrame:
+    """Calendar columns of a fact, worked out from its date key: no join, and no day that a calendar could lack."""
+    parts = x.calendar_parts(F.to_date(F.col("date_key").cast("string"), "yyyyMMdd"))
+    return fact.withColumns({c: parts[c] for c in cols})
 
 
-def orders_enriched(fact_orders: DataFrame, dim_users: DataFrame, dim_devices: DataFrame,
-                    dim_time: DataFrame) -> DataFrame:
+def orders_enriched(fact_orders: DataFrame, dim_users: DataFrame, dim_devices: DataFrame) -> DataFrame:
     users = dim_users.select(
         "user_sk", "customer_segment", F.col("total_orders").alias("customer_total_orders"),
         F.col("total_spend").alias("customer_total_spend"), F.col("avg_order_value").alias("customer_aov"),
         "churn_risk_score", "ltv_score", "preferred_category", F.col("is_active").alias("customer_is_active"))
     devices = dim_devices.select("device_sk", "device_type", "device_os", "browser", "device_class", "is_mobile")
-    days = dim_time.select("date_key", F.col("full_date").alias("order_date"), "year", "month", "day", "week_of_year",
-                           "day_name", "month_name", "quarter")
     fact = fact_orders.select(
         "order_id", "event_id", "user_id", "session_id", "order_timestamp", "order_status", "payment_method", "currency",
         "item_count", "order_total", "subtotal", "tax_amount", "shipping_cost", "discount_amount",
         "effective_discount_pct", "order_value_tier", "primary_category", "distinct_products", "is_prime", "is_gift",
         "is_weekend", "order_hour_bucket", "utm_source", "utm_medium", "country", "user_sk", "device_sk", "date_key")
-    return (fact.join(users, "user_sk", "left").join(devices, "device_sk", "left")
-            .join(F.broadcast(days), "date_key", "left")
+    dated = on_calendar(fact, "full_date", "year", "month", "day", "week_of_year", "day_name", "month_name", "quarter")
+    return (dated.withColumnRenamed("full_date", "order_date")
+            .join(users, "user_sk", "left").join(devices, "device_sk", "left")
             .withColumn("is_completed", F.coalesce(x.is_completed(), F.lit(False)))
             .drop("user_sk", "device_sk", "date_key"))
 
@@ -42,9 +39,9 @@ def orders_enriched(fact_orders: DataFrame, dim_users: DataFrame, dim_devices: D
 REVENUE_KEYS = ["order_date", "year", "month", "month_name", "quarter", "country", "payment_method", "order_value_tier"]
 
 
-def revenue_by_day(fact_orders: DataFrame, dim_time: DataFrame, lag_rows: int = 30) -> DataFrame:
+def revenue_by_day(fact_orders: DataFrame, lag_rows: int = 30) -> DataFrame:
     """Daily KPIs. ``revenue_delta_30d`` compares with the row 30 places earlier within the country (not 30 days)."""
-    done = calendar_join(fact_orders.filter(x.is_completed()), dim_time, "full_date", "year", "month", "month_name",
+    done = on_calendar(fact_orders.filter(x.is_completed()), "full_date", "year", "month", "month_name",
                          "quarter").withColumnRenamed("full_date", "order_date")
     total = x.fixed_sum("order_total")
     out = done.groupBy(*REVENUE_KEYS).agg(
@@ -64,9 +61,9 @@ def revenue_by_day(fact_orders: DataFrame, dim_time: DataFrame, lag_rows: int =
         "revenue_delta_30d": x.rnd(F.col("gross_revenue") - F.lag("gross_revenue", lag_rows).over(w), 2)})
 
 
-def revenue_delta_30d(fact_orders: DataFrame, dim_time: DataFrame, days: int = 30) -> DataFrame:
+def revenue_delta_30d(fact_orders: DataFrame, days: int = 30) -> DataFrame:
     """Daily revenue per country against the same country exactly ``days`` days earlier (0 where nothing was sold)."""
-    done = calendar_join(fact_orders.filter(x.is_completed()), dim_time, "full_date")
+    done = on_calendar(fact_orders.filter(x.is_completed()), "full_date")
     daily = done.groupBy("country", F.col("full_date").cast("date").alias("order_date")).agg(
         x.fixed_sum("order_total").alias("revenue"))
     earlier = daily.select("country", F.date_add("order_date", days).alias("order_date"),
@@ -101,9 +98,9 @@ def _by_category(fact_orders: DataFrame, products: DataFrame, keys: list[str],
     return products.join(sales.drop("_products"), "category")
 
 
-def product_sales(fact_orders: DataFrame, dim_products: DataFrame, dim_time: DataFrame) -> DataFrame:
+def product_sales(fact_orders: DataFrame, dim_products: DataFrame) -> DataFrame:
     """Category-joined product figures, as the view defines them; ``product_performance`` is the item-level answer."""
-    done = calendar_join(fact_orders.filter(x.is_completed()), dim_time, "year", "month", "month_name", "quarter")
+    done = on_calendar(fact_orders.filter(x.is_completed()), "year", "month", "month_name", "quarter")
     products = dim_products.select("product_id", "product_name", "category", "brand")
     return _by_category(done, products, ["year", "month", "month_name", "quarter", "country", "device_type"],
                         {"category_rank": ["year", "month", "category"], "overall_rank": ["year", "month"]})
@@ -131,12 +128,11 @@ def rpt_daily_revenue(fact_orders: DataFrame) -> DataFrame:
     return out.withColumn("revenue_per_customer", x.ratio("gross_revenue", "unique_customers", 2))
 
 
-def conversion_funnel(fact_clicks: DataFrame, fact_orders: DataFrame, dim_time: DataFrame,
-                      null_safe: bool = False) -> DataFrame:
+def conversion_funnel(fact_clicks: DataFrame, fact_orders: DataFrame, null_safe: bool = False) -> DataFrame:
     keys = ["session_date", "country", "device_type", "utm_source", "customer_segment"]
 
     def dated(fact):
-        return calendar_join(fact, dim_time, "full_date").withColumnRenamed("full_date", "session_date")
+        return on_calendar(fact, "full_date").withColumnRenamed("full_date", "session_date")
 
     sessions = dated(fact_clicks).groupBy(*keys).agg(
         F.countDistinct("session_id").alias("total_sessions"), F.countDistinct("user_id").alias("unique_users"),
@@ -153,8 +149,8 @@ def conversion_funnel(fact_clicks: DataFrame, fact_orders: DataFrame, dim_time:
         "aov": x.ratio("revenue", "orders", 2)})
 
 
-def payment_analytics(fact_payments: DataFrame, dim_time: DataFrame) -> DataFrame:
-    rows = calendar_join(fact_payments, dim_time, "full_date", "year", "month").withColumnRenamed(
+def payment_analytics(fact_payments: DataFrame) -> DataFrame:
+    rows = on_calendar(fact_payments, "full_date", "year", "month").withColumnRenamed(
         "full_date", "payment_date")
     status = F.col("payment_status")
     out = rows.groupBy("payment_date", "year", "month", "payment_method", "payment_gateway", "payment_status",

@@ -277,33 +277,32 @@ def dq_monitor_approx(spark, folder):
 def orders_enriched(spark, folder):
     fact = _fact_orders(spark, folder)
     users = merge.user_metrics(fact, ORDERS_AS_OF.date())
-    return views.orders_enriched(fact, users, gold.dim_devices(_sales(spark, folder)), _calendar(spark))
+    return views.orders_enriched(fact, users, gold.dim_devices(_sales(spark, folder)))
 
 
 @query
 def revenue_by_day(spark, folder):
-    return views.revenue_by_day(_fact_orders(spark, folder), _calendar(spark))
+    return views.revenue_by_day(_fact_orders(spark, folder))
 
 
 @query
 def revenue_delta_30d(spark, folder):
-    return views.revenue_delta_30d(_fact_orders(spark, folder, with_items=False), _calendar(spark))
+    return views.revenue_delta_30d(_fact_orders(spark, folder, with_items=False))
 
 
 @query
 def product_sales(spark, folder):
-    return views.product_sales(_fact_orders_ev(spark, folder), gold.dim_products(rt.silver_orders_ev(spark, folder)),
-                               _calendar(spark))
+    return views.product_sales(_fact_orders_ev(spark, folder), gold.dim_products(rt.silver_orders_ev(spark, folder)))
 
 
 @query
 def conversion_funnel(spark, folder):
-    return views.conversion_funnel(_fact_clicks(spark, folder), _fact_orders_ev(spark, folder), _calendar(spark))
+    return views.conversion_funnel(_fact_clicks(spark, folder), _fact_orders_ev(spark, folder))
 
 
 @query
 def payment_analytics(spark, folder):
-    return views.payment_analytics(_fact_payments(spark, folder), _calendar(spark))
+    return views.payment_analytics(_fact_payments(spark, folder))
 
 
 @query
@@ -612,7 +611,7 @@ def visible_orders(spark, folder):
 
 def _parsed(spark, folder, stream):
     """Typed records of a stream before validation, without the undecodable ones."""
-    return ingest.decode(pl.payloads(spark, folder, stream, copies=False), stream).filter("fields is not null").select("rec.*")
+    return ingest.decode(pl.payloads(spark, folder, stream, copies=False), stream).filter("fields is not null").select("rec.*", "arrival_ts")
 
 
 @query
@@ -736,6 +735,5 @@ def ingestion_lag(spark, folder):
 
 @query
 def dq_pass_rate_series(spark, folder):
-    return windows.pass_rate_series(
-        dq.validate(_parsed(spark, folder, "orders"), "orders", AS_OF).withColumn(
-            "checked_at", F.try_to_timestamp("event_timestamp")).filter("checked_at is not null"), "orders", "checked_at")
+    """By arrival, when records are checked: those without a readable event time count too."""
+    return windows.pass_rate_series(dq.validate(_parsed(spark, folder, "orders"), "orders", AS_OF), "orders", "arrival_ts")

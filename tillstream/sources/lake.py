@@ -33,7 +33,7 @@ def read_bronze(spark: SparkSession, root: str, entity: str, arrival_day: dt.dat
     Unreadable lines are kept in ``_corrupt_record``. A path that does not exist yet gives an empty typed frame.
     """
     layout = BRONZE[entity] + ", _corrupt_record string"
-    parts = ", ".join(f"{c} int" for c in ARRIVAL)
+    parts = ", ".join(f"{c} int" for c in ARRIVAL) + ", run_id string, batch_id long"
     try:
         df = (spark.read.schema(f"{layout}, {parts}").option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", "_corrupt_record").json(os.path.join(root, "bronze", entity)))
@@ -53,10 +53,10 @@ def with_arrival_parts(df: DataFrame, arrival: str = "ingestion_timestamp") -> D
                            "ingest_hour": F.hour(ts)})
 
 
-def write_bronze(df: DataFrame, root: str, entity: str, batch_id: int) -> None:
+def write_bronze(df: DataFrame, root: str, entity: str, batch_id: int, run_id: str = "batch") -> None:
     """One batch of enriched records as NDJSON by arrival hour. A replay of the batch replaces its own files only."""
-    out = with_arrival_parts(df).withColumn("batch_id", F.lit(batch_id))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*ARRIVAL, "batch_id")
+    out = with_arrival_parts(df).withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id)})
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*ARRIVAL, "run_id", "batch_id")
      .json(os.path.join(root, "bronze", entity)))
 
 
@@ -111,6 +111,27 @@ def register(spark: SparkSession, table: str, path: str, layout: str, partition_
     spark.catalog.refreshTable(table)
 
 
+def existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Those of some given folders that are there; nothing is listed."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = [(p, jvm.org.apache.hadoop.fs.Path(p)) for p in paths]
+    return [p for p, folder in found if folder.getFileSystem(conf).exists(folder)]
+
+
+def expire(spark: SparkSession, path: str, column: str, before: dt.date) -> list[str]:
+    """Delete the day folders ``column=day`` of a table that lie before a day; returns their names."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
+    old = sorted(n for n in names if f"{column}=" <= n < f"{column}={before.isoformat()}")
+    for name in old:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(root, name), True)
+    return old
+
+
 # ---- versioned tables for upserts ----------------------------------------------------------
 
 def _versions(spark: SparkSession, path: str) -> list[int]:

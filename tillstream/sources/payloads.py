@@ -1,7 +1,7 @@
 """Raw stream payloads made of the event table's entities, with defects by event number.
 
 Every 97th is not JSON, 89th lacks a required key, 83rd has a null user id, 79th a bad code (currency, status, action),
-73rd a bad timestamp, 71st a negative amount; every 67th is sent twice.
+73rd a bad timestamp (a word, a year, a month or a time of day), 71st a negative amount; every 67th is sent twice.
 """
 
 from __future__ import annotations
@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from tillstream.sources import retail_tables as rt
 
+# Fixed values of the derived records: texts that are no ISO timestamps
+BAD_TIMES = ["not-a-time", "2024", "2024-01", "10:30"]
+
 # stream -> (entity frame, key dropped by the 89th, coded field spoilt by the 79th, amount negated by the 71st)
 _PLAN = {
     "orders": (rt.raw_orders_ev, "currency", "currency", "total_amount"),
@@ -25,7 +28,7 @@ def payloads(spark: SparkSession, folder: str, stream: str, copies: bool = True)
     source, dropped, coded, amount = _PLAN[stream]
     df, e = source(spark, folder), F.col("e")
     changed: dict[str, Column] = {
-        "event_timestamp": F.when(e % 73 == 0, "not-a-time").otherwise(
+        "event_timestamp": F.when(e % 73 == 0, rt.pick(BAD_TIMES, F.floor(e / 73) % 4)).otherwise(
             F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")),
         "user_id": F.when(e % 83 != 0, F.col("user_id"))}
     if coded:

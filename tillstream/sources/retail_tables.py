@@ -28,7 +28,6 @@ AB_VARIANTS = ["control", "variant_a", "variant_b"]
 VIEWPORTS = ["375", "768", "1280", "1440", "1920"]
 SEGMENTS = {"AUTOMOBILE": "new", "BUILDING": "returning", "FURNITURE": "vip", "HOUSEHOLD": "churned",
             "MACHINERY": "returning"}
-CATALOG_SIZE = 500
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -136,6 +135,11 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
         _cents(unit * (1 - F.col("l_discount"))).alias("final_price"))
 
 
+def catalog_size(spark: SparkSession, folder: str) -> Column:
+    """Number of products, so that the catalogue of the event entities grows with the part table."""
+    return table(spark, folder, "part").agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("n")).scalar()
+
+
 # ---- everything that comes from the event table --------------------------------------------
 
 def _events(spark: SparkSession, folder: str, *types: str) -> DataFrame:
@@ -171,7 +175,7 @@ def raw_clickstream(spark: SparkSession, folder: str) -> DataFrame:
     page = pick(d.PAGE_TYPES, e % 9)
     search = page == "search_results"
     term = pick(SEARCH_TERMS, e % 10)
-    product = _product(e % CATALOG_SIZE)
+    product = _product(e % catalog_size(spark, folder))
     return _events(spark, folder).select(
         "e", *_SESSION, F.lit("page_view").alias("event_type"), page.alias("page_type"),
         F.when(page == "product_detail", product["product_id"]).alias("product_id"),
@@ -186,7 +190,7 @@ def raw_clickstream(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_carts(spark: SparkSession, folder: str) -> DataFrame:
     e = F.col("e")
-    product = _product(e % CATALOG_SIZE)
+    product = _product(e % catalog_size(spark, folder))
     return _events(spark, folder, "click", "view").select(
         "e", *_SESSION, F.lit("cart_event").alias("event_type"),
         F.concat(F.lit("CRT-"), F.col("u").cast("string")).alias("cart_id"),
@@ -218,7 +222,7 @@ def raw_orders_ev(spark: SparkSession, folder: str) -> DataFrame:
     e = F.col("e")
 
     def item(j: Column) -> Column:
-        p = _product((e + j * 7) % CATALOG_SIZE)
+        p = _product((e + j * 7) % F.col("catalog"))
         disc = ((e + j) % 6) * 5.0
         return F.struct(
             *[p[n].alias(n) for n in ("product_id", "product_name", "category", "brand")],
@@ -226,7 +230,8 @@ def raw_orders_ev(spark: SparkSession, folder: str) -> DataFrame:
             disc.alias("discount_pct"), _cents(p["unit_price"] * (100 - disc) / 100).alias("final_price"))
 
     total = F.col("value")
-    df = _events(spark, folder, "purchase").withColumn("subtotal", _cents(total / 1.08))
+    df = _events(spark, folder, "purchase").withColumns({"subtotal": _cents(total / 1.08),
+                                                               "catalog": catalog_size(spark, folder)})
     return df.select(
         "e", *_SESSION, F.lit("order_placed").alias("event_type"), _id("ORD-E", e).alias("order_id"),
         pick(d.ORDER_STATUSES, e % 7).alias("order_status"), pick(d.PAYMENT_METHODS, e % 7).alias("payment_method"),

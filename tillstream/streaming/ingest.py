@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,7 +54,7 @@ def _shown(field: str) -> Column:
 
 
 def event_time() -> Column:
-    return F.try_to_timestamp(F.col("rec.event_timestamp"))
+    return x.iso_timestamp("rec.event_timestamp")
 
 
 def failure_reason(entity: str) -> Column:
@@ -154,14 +155,16 @@ class Outcome:
     accepted: DataFrame
     failed: DataFrame
     keys: DataFrame | None
+    passed: DataFrame | None = None
 
 
 def process(classified: DataFrame, entity: str, seen: DataFrame | None = None, environment: str = "prod",
-            batch_id: int = 0) -> Outcome:
+            batch_id: int = 0, hold: StorageLevel | None = None) -> Outcome:
     """Split a classified batch; orders and payments are deduplicated first-wins.
 
     ``seen`` has one row per known key (``key``); a batch is expected to span less than the 24 h life of a key. The
-    first-wins filter is applied before the shuffle as well, so a key that fills the batch stays cheap.
+    first-wins filter is applied before the shuffle as well, so a key that fills the batch stays cheap. With ``hold`` the
+    records that are left are persisted, since several outputs are made of them; the caller releases ``passed``.
     """
     passed = classified.filter(F.col("reason").isNull())
     keys = None
@@ -170,10 +173,12 @@ def process(classified: DataFrame, entity: str, seen: DataFrame | None = None, e
         passed = first_per_key(passed, ["key"], ["arrival_ts", "payload"])
         if seen is not None:
             passed = passed.join(seen.select("key"), "key", "left_anti")
+        if hold is not None:
+            passed = passed.persist(hold)
         keys = passed.select("key", F.col("arrival_ts").alias("seen_at"),
                              F.to_date("arrival_ts").alias("seen_date"), F.lit(batch_id).cast("long").alias("batch_id"))
     return Outcome(classified, enrich(passed, entity, environment),
-                   dead_letters(classified, entity, environment, batch_id), keys)
+                   dead_letters(classified, entity, environment, batch_id), keys, passed)
 
 
 def batch_summary(outcome: Outcome, entity: str, batch_id: int = 0) -> DataFrame:

@@ -1,17 +1,18 @@
 """Structured Streaming around the batch functions of ``ingest``.
 
 Each micro-batch writes, in this order: bronze records, dead letters, summary and alerts, and last the dedup keys. All
-outputs carry the batch id as a partition, and a replayed batch overwrites its own partitions and ignores its own keys,
-so a failure at any point is repaired by the replay.
+outputs carry the run id and the batch id as partitions. A replayed batch overwrites its own partitions and ignores its
+own keys, so a failure at any point is repaired by the replay. The run id lives in the checkpoint: a stream that starts
+with a new checkpoint, or a second one on the same root, numbers its batches anew without touching older output.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import os
+import uuid
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,61 +21,100 @@ from tillstream.functions.schemas import ALERTS, DEAD_LETTER
 from tillstream.sources import lake
 from tillstream.streaming import ingest
 
-KEYS = "key string, seen_at timestamp, batch_id long, seen_date date"
+KEYS = "key string, seen_at timestamp, run_id string, batch_id long, seen_date date"
+BY_BATCH = ("run_id", "batch_id")
 
 
-def _append_batch(df: DataFrame, path: str, *partition_cols: str) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path)
+def run_id_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the run a checkpoint belongs to, made and kept beside its offsets at the first start."""
+    path = os.path.join(checkpoint, "run_id")
+    kept = spark.read.text(path).first() if lake.existing(spark, [path]) else None
+    if kept is None:  # new, or the first start was cut short before the id was there
+        kept = [f"run-{uuid.uuid4().hex}"]
+        spark.createDataFrame([tuple(kept)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return kept[0]
 
 
-def seen_keys(spark: SparkSession, root: str, entity: str, since: dt.datetime, batch_id: int) -> DataFrame:
-    """Keys accepted since a moment by other batches. The day folders before it are not read."""
-    try:
-        keys = spark.read.schema(KEYS).parquet(os.path.join(root, "keys", entity))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+def _append_batch(df: DataFrame, path: str, run_id: str, batch_id: int, *partition_cols: str) -> None:
+    out = df.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("long")})
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols, *BY_BATCH)
+     .parquet(path))
+
+
+def seen_keys(spark: SparkSession, root: str, entity: str, first: dt.datetime, last: dt.datetime,
+              days: tuple[dt.date, dt.date], run_id: str, batch_id: int) -> DataFrame:
+    """Keys that other batches accepted less than a key's life before or after a batch's span of arrivals.
+
+    Only the folders of ``days`` are opened, however many older ones there are; ``expire_keys`` removes those.
+    """
+    base = os.path.join(root, "keys", entity)
+    wanted = [days[0] + dt.timedelta(days=i) for i in range((days[1] - days[0]).days + 1)]
+    found = lake.existing(spark, [f"{base}/seen_date={day.isoformat()}" for day in wanted])
+    if not found:
         return lake.empty(spark, KEYS)
-    return keys.filter((F.col("seen_date") >= F.lit(since.date())) & (F.col("seen_at") > F.lit(since))
-                       & (F.col("batch_id") != batch_id))
+    own = (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)
+    return spark.read.schema(KEYS).option("basePath", base).parquet(*found).filter(
+        (F.col("seen_at") > F.lit(first - ingest.DEDUP_TTL)) & (F.col("seen_at") < F.lit(last + ingest.DEDUP_TTL)) & ~own)
+
+
+def expire_keys(spark: SparkSession, root: str, entity: str, now: dt.datetime) -> list[str]:
+    """Remove the key folders that no batch arriving from ``now`` on can ask for."""
+    return lake.expire(spark, os.path.join(root, "keys", entity), "seen_date", (now - ingest.DEDUP_TTL).date())
 
 
-def process_batch(batch: DataFrame, batch_id: int, entity: str, root: str, environment: str = "prod") -> None:
+def process_batch(batch: DataFrame, batch_id: int, entity: str, root: str, environment: str = "prod",
+                  run_id: str = "batch") -> None:
     """Everything a consumer does with one micro-batch of (data, arrival_ts)."""
     spark = batch.sparkSession
     classified = ingest.classify(batch, entity).persist(StorageLevel.MEMORY_AND_DISK)
+    passed = None
     try:
-        span = classified.agg(F.min("arrival_ts").alias("first"), F.max("arrival_ts").alias("last")).first()
+        life = F.make_dt_interval(secs=F.lit(ingest.DEDUP_TTL.total_seconds()).cast("decimal(18,6)"))
+        first, last = F.min("arrival_ts"), F.max("arrival_ts")
+        span = classified.agg(first.alias("first"), last.alias("last"), F.to_date(first - life).alias("from_day"),
+                              F.to_date(last + life).alias("to_day")).first()
         if span["first"] is None:
             return
         seen = None
         if entity in ingest.DEDUP_KEYS:
-            seen = seen_keys(spark, root, entity, span["first"] - ingest.DEDUP_TTL, batch_id)
-        out = ingest.process(classified, entity, seen, environment, batch_id)
-        lake.write_bronze(out.accepted, root, entity, batch_id)
-        letters = out.failed.withColumn("failed_date", F.to_date("failed_at"))
-        _append_batch(letters, os.path.join(root, "dlq", entity), "failed_date", "batch_id")
+            seen = seen_keys(spark, root, entity, span["first"], span["last"], (span["from_day"], span["to_day"]), run_id,
+                             batch_id)
+        out = ingest.process(classified, entity, seen, environment, batch_id, StorageLevel.MEMORY_AND_DISK)
+        passed = out.passed
+        lake.write_bronze(out.accepted, root, entity, batch_id, run_id)
+
+        def land(df: DataFrame, folder: str, *partition_cols: str) -> None:
+            _append_batch(df, os.path.join(root, folder), run_id, batch_id, *partition_cols)
+
+        land(out.failed.withColumn("failed_date", F.to_date("failed_at")), f"dlq/{entity}", "failed_date")
         summary = ingest.batch_summary(out, entity, batch_id)
-        _append_batch(summary, os.path.join(root, "summaries", entity), "batch_id")
-        alerts = ingest.failure_alerts(summary, span["last"]).withColumn("batch_id", F.lit(batch_id))
-        _append_batch(alerts, os.path.join(root, "alerts", entity), "batch_id")
+        land(summary, f"summaries/{entity}")
+        land(ingest.failure_alerts(summary, span["last"]), f"alerts/{entity}")
         if entity == "carts":
-            notices = ingest.cart_abandonment(out.accepted).withColumn("batch_id", F.lit(batch_id))
-            _append_batch(notices, os.path.join(root, "abandonments"), "batch_id")
+            land(ingest.cart_abandonment(out.accepted), "abandonments")
         if out.keys is not None:
-            _append_batch(out.keys, os.path.join(root, "keys", entity), "seen_date", "batch_id")
+            land(out.keys, f"keys/{entity}", "seen_date")
     finally:
+        if passed is not None:
+            passed.unpersist()
         classified.unpersist()
 
 
 def start_ingest(stream: DataFrame, entity: str, root: str, checkpoint: str, environment: str = "prod",
                  available_now: bool = True, interval: str = "1 minute") -> StreamingQuery:
     """Run a consumer over a stream of (data, arrival_ts) - whatever the source."""
+    run_id = run_id_of(stream.sparkSession, checkpoint)
     writer = stream.writeStream.foreachBatch(
-        lambda df, batch_id: process_batch(df, batch_id, entity, root, environment)).option("checkpointLocation", checkpoint)
+        lambda df, batch_id: process_batch(df, batch_id, entity, root, environment, run_id)).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)).start()
 
 
+def start_redrive(spark: SparkSession, root: str, entity: str, checkpoint: str, environment: str = "prod") -> StreamingQuery:
+    """Feed the recoverable dead letters that triage set aside through the consumer again, each once."""
+    letters = payload_stream(spark, os.path.join(root, "redrive", entity)).select("data", "arrival_ts")
+    return start_ingest(letters, entity, root, checkpoint, environment)
+
+
 def payload_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Payload files (Parquet with data, arrival_ts) as a stream."""
     reader = spark.readStream.schema("data string, arrival_ts timestamp")
@@ -87,22 +127,24 @@ def dedup_stream(records: DataFrame, key: str, arrival: str = "arrival_ts", ttl:
 
 
 def dead_letter_stream(spark: SparkSession, root: str, entity: str) -> DataFrame:
-    layout = DEAD_LETTER.replace(", batch_id long", "") + ", failed_date date, batch_id long"
+    layout = DEAD_LETTER.replace(", batch_id long", "") + ", failed_date date, run_id string, batch_id long"
     return spark.readStream.schema(layout).parquet(os.path.join(root, "dlq", entity))
 
 
 def start_triage(spark: SparkSession, root: str, entity: str, checkpoint: str) -> StreamingQuery:
     """Classify new dead letters: counts per disposition, alerts for permanent failures, recoverable ones for re-drive."""
+    run_id = run_id_of(spark, checkpoint)
+
     def handle(df: DataFrame, batch_id: int) -> None:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            def batch(out):
-                return out.withColumn("batch_id", F.lit(batch_id))
+            def land(out: DataFrame, folder: str) -> None:
+                _append_batch(out, os.path.join(root, folder, entity), run_id, batch_id)
 
-            _append_batch(batch(ingest.triage_counts(df)), os.path.join(root, "triage", entity), "batch_id")
+            land(ingest.triage_counts(df), "triage")
             alerts = ingest.triage_alerts(df, dt.datetime(1970, 1, 1)).withColumn("raised_at", F.current_timestamp())
-            _append_batch(batch(alerts), os.path.join(root, "triage_alerts", entity), "batch_id")
-            _append_batch(batch(ingest.redrive(df, entity)), os.path.join(root, "redrive", entity), "batch_id")
+            land(alerts, "triage_alerts")
+            land(ingest.redrive(df, entity), "redrive")
         finally:
             df.unpersist()
 
@@ -111,4 +153,4 @@ def start_triage(spark: SparkSession, root: str, entity: str, checkpoint: str) -
 
 
 def read_alerts(spark: SparkSession, root: str, entity: str) -> DataFrame:
-    return spark.read.schema(ALERTS + ", batch_id long").parquet(os.path.join(root, "alerts", entity))
+    return spark.read.schema(ALERTS + ", run_id string, batch_id long").parquet(os.path.join(root, "alerts", entity))
