@@ -160,10 +160,18 @@ class Classifier:
 
 
 def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Classifier:
-    """Learns from at most ``sample`` paragraphs that have no word pair of a template."""
+    """Learns from at most ``sample`` different paragraphs that have no word pair of a template.
+
+    They are those of the smallest hashes. A bound on the hash that leaves about twice as many comes first, so that tasks
+    hand over few paragraphs however many tasks there are, and a paragraph with many copies counts once.
+    """
     names = sorted({" ".join(p) for p in ALL_PAIRS})
     lines = docs.select(F.explode(paragraphs(F.col(text))).alias("p")).where(F.length(F.trim("p")) > 0)
-    lines = lines.select(F.substring("p", 1, 4000).alias("p"), F.xxhash64("p").alias("h")).orderBy("h", "p").limit(sample)
+    lines = lines.select(F.substring("p", 1, 4000).alias("p")).select("p", F.xxhash64("p").alias("h"))
+    different = lines.agg(F.approx_count_distinct("h")).first()[0]
+    if different > 2 * sample:
+        lines = lines.where(F.col("h") < int(-2 ** 63 + 2 ** 64 * (2 * sample / different)))
+    lines = lines.distinct().orderBy("h", "p").limit(sample)
     known = set(names)
     return Classifier([r["p"] for r in lines.collect()
                        if words_of(r["p"]) and not known & {" ".join(x) for x in pairs(words_of(r["p"]))}])
