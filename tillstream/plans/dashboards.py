@@ -226,6 +226,8 @@ def rank_over_time(orders: DataFrame, items: DataFrame | None = None, n: int = 5
     A rank is one plus the number of products with more revenue in the month, so the other products are only counted
     against these few; no month is ever sorted as a whole.
     """
+    if not 0 < n <= 1000:  # n rows a month are broadcast
+        raise ValueError(f"unsuitable number of products: {n}")
     rows = item_rows(orders.filter(x.is_completed()), items, ["order_id", "year", "month"])
     monthly = rows.groupBy("product_id", "year", "month").agg(_item_revenue().alias("revenue"))
     best = (monthly.groupBy("product_id").agg(x.fixed_sum("revenue").alias("total"))
