@@ -255,7 +255,37 @@ def test_whole_pipeline_and_reruns(spark, folder, tmp_path):
     assert batch_jobs.refresh(spark, root, "fact_orders", day).count() <= counts["fact_orders"]
 
 
+@pytest.mark.parametrize("runs", [(1, 2, 1), (2, 1)])
+def test_silver_does_not_depend_on_the_order_of_runs(spark, tmp_path, runs):
+    """Order 1 is sent again on the next day and moves there, alone on its first day; order 2 stays; order 3 is late."""
+    root, run_ts, first = f"{tmp_path}/lake", dt.datetime(2024, 2, 1), dt.date(2024, 1, 6)
+
+    def sent(n, day, status="placed"):
+        return {**ORDER, "event_id": f"EVT-{n}-{day}", "order_id": f"ORD-{n}", "order_status": status,
+                "event_timestamp": f"2024-01-0{day}T08:00:00+00:00"}
+
+    days = {1: [sent(1, 6), sent(2, 5)], 2: [sent(1, 7, "completed"), sent(3, 5)]}
+    for n, records in days.items():
+        at = T0 + dt.timedelta(days=n - 1)
+        accepted = ingest.process(ingest.classify(batch(spark, *records, at=at), "orders"), "orders").accepted
+        lake.write_bronze(accepted, root, "orders", n)
+        for entity in ("clickstream", "carts", "payments"):
+            click = batch(spark, *RECORDS[entity][:1], at=at)
+            lake.write_bronze(ingest.process(ingest.classify(click, entity), entity).accepted, root, entity, n)
+    for n in runs:
+        opened = lake.read_bronze(spark, root, "orders", first + dt.timedelta(days=n - 1))
+        assert {r.ingest_day for r in opened.select("ingest_day").collect()} == {5 + n}
+        changed = batch_jobs.daily(spark, root, first + dt.timedelta(days=n - 1), run_ts)
+        assert changed >= {dt.date(2024, 1, 5)}
+    silver_rows = {(r.order_id, r.day, r.order_status) for r in lake.read_silver(spark, root, "orders").collect()}
+    assert silver_rows == {("ORD-1", 7, "completed"), ("ORD-2", 5, "placed"), ("ORD-3", 5, "placed")}
+    facts = lake.read_gold(spark, root, "fact_orders")
+    assert sorted((r.order_id, r.day) for r in facts.collect()) == [("ORD-1", 7), ("ORD-2", 5), ("ORD-3", 5)]
+    revenue = lake.read_gold(spark, root, "agg_daily_revenue").groupBy("day").agg(F.sum("total_orders").alias("n")).collect()
+    assert {r.day: r.n for r in revenue} == {5: 2, 7: 1}
+
+
 def test_missing_bronze_is_empty(spark, tmp_path):
     assert lake.read_bronze(spark, str(tmp_path), "orders").isEmpty()
-    assert batch_jobs.bronze_to_silver(spark, str(tmp_path), None, T0) == []
+    assert batch_jobs.bronze_to_silver(spark, str(tmp_path), None, T0) == {}
     assert dq.CHECK_SETS.keys() == {"orders", "payments", "clickstream"}

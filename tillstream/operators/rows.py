@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Collection, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,17 +32,27 @@ def standardize_nulls(df: DataFrame, columns: Iterable[str], fill: str = "UNKNOW
                            for c in columns if c in df.columns})
 
 
-def on_day(df: DataFrame, day: dt.date | None) -> DataFrame:
-    """Partition filter on year/month/day; ``None`` keeps every day (full run)."""
+Days = dt.date | Collection[dt.date | None] | None
+
+
+def on_day(df: DataFrame, day: Days) -> DataFrame:
+    """Partition filter on year/month/day: one day or several; ``None`` keeps every day (full run). ``None`` among several
+    days stands for the rows without a day."""
     if day is None:
         return df
-    return df.filter((F.col("year") == day.year) & (F.col("month") == day.month) & (F.col("day") == day.day))
+    if isinstance(day, dt.date):
+        return df.filter((F.col("year") == day.year) & (F.col("month") == day.month) & (F.col("day") == day.day))
+    wanted = F.make_date("year", "month", "day").isin([d for d in day if d is not None])
+    return df.filter(wanted | F.col("year").isNull() if None in day else wanted)
 
 
-def in_month(df: DataFrame, day: dt.date | None) -> DataFrame:
+def in_month(df: DataFrame, day: Days) -> DataFrame:
     if day is None:
         return df
-    return df.filter((F.col("year") == day.year) & (F.col("month") == day.month))
+    if isinstance(day, dt.date):
+        return df.filter((F.col("year") == day.year) & (F.col("month") == day.month))
+    wanted = (F.col("year") * 12 + F.col("month")).isin(sorted({d.year * 12 + d.month for d in day if d is not None}))
+    return df.filter(wanted | F.col("year").isNull() if None in day else wanted)
 
 
 def days_back(df: DataFrame, as_of: dt.date, days: int, date_col: str = "event_timestamp") -> DataFrame:

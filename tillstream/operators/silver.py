@@ -29,6 +29,18 @@ CASTS = {
 }
 
 
+# one row per key: the latest event, then the larger of these; in the lake the processing id (a hash of the record) decides
+KEYS = {"orders": ("order_id", ["event_id", "order_status", "total_amount"]), "payments": ("payment_id", ["event_id", "payment_status"]),
+        "clickstream": ("event_id", ["session_id"]), "carts": ("event_id", ["session_id"])}
+
+
+def latest(df: DataFrame, entity: str) -> DataFrame:
+    """The rule by which silver keeps one version of a record, on raw as on silver rows."""
+    key, ties = KEYS[entity]
+    last = ["processing_id"] if "processing_id" in df.columns else []
+    return deduplicate(df, [key], "event_timestamp", [*ties, *last])
+
+
 def _present(*cols: str) -> Column:
     cond = F.lit(True)
     for c in cols:
@@ -48,7 +60,7 @@ def transform_orders(raw: DataFrame, run_ts: dt.datetime | None = None, max_tota
     df = cast_columns(raw, CASTS["orders"]).filter(_present("event_id", "order_id", "user_id"))
     df = standardize_nulls(df, ["country", "device_type", "customer_segment", "payment_method"])
     df = df.filter((F.col("total_amount") > 0) & (F.col("total_amount") < max_total))
-    df = deduplicate(df, ["order_id"], "event_timestamp", ["event_id", "order_status", "total_amount"])
+    df = latest(df, "orders")
     if rollup is not None:
         df = df.join(rollup, "order_id", "left").withColumn("item_count", F.coalesce("item_count", F.lit(0)))
     has_items = [F.col(c).isNotNull() for c in ("items", "distinct_products") if c in df.columns] or [F.lit(False)]
@@ -72,7 +84,7 @@ def transform_payments(raw: DataFrame, run_ts: dt.datetime | None = None, requir
     if require_order_id:
         df = df.filter(_present("order_id"))
     df = df.filter((F.col("amount") > 0) & (F.col("amount") < max_amount))
-    df = deduplicate(df, ["payment_id"], "event_timestamp", ["event_id", "payment_status"])
+    df = latest(df, "payments")
     df = df.withColumns(x.event_parts("event_timestamp"))
     return df.withColumns({
         "is_successful": F.col("payment_status") == "success",
@@ -95,7 +107,7 @@ def transform_clickstream(raw: DataFrame, run_ts: dt.datetime | None = None, ove
     t, limit = F.col("time_on_page_seconds"), d.MAX_TIME_ON_PAGE
     clamped = F.when(t.between(0, limit), t) if over_limit == "null" else F.when(t > limit, limit).otherwise(t)
     df = df.withColumn("time_on_page_seconds", clamped)
-    df = deduplicate(df, ["event_id"], "event_timestamp", ["session_id"])
+    df = latest(df, "clickstream")
     df = df.withColumns(x.event_parts("event_timestamp"))
     return df.withColumns({
         "engagement_level": x.engagement_level(),
@@ -113,7 +125,7 @@ def transform_clickstream(raw: DataFrame, run_ts: dt.datetime | None = None, ove
 def transform_carts(raw: DataFrame, run_ts: dt.datetime | None = None, event_id_only: bool = False) -> DataFrame:
     df = cast_columns(raw, CASTS["carts"])
     df = df.filter(_present("event_id") if event_id_only else _present("event_id", "session_id", "product_id"))
-    df = deduplicate(df, ["event_id"], "event_timestamp", ["session_id"])
+    df = latest(df, "carts")
     df = df.withColumns(x.event_parts("event_timestamp"))
     value = x.rnd(F.col("unit_price") * F.col("quantity"), 2)
     return df.withColumns({

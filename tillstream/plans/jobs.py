@@ -11,54 +11,72 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.functions.schemas import WAREHOUSE, conform
-from tillstream.operators import gold, merge, silver
+from tillstream.operators import gold, merge, rows, silver
 from tillstream.plans import views
 from tillstream.sources import lake, stage
 
 
 def bronze_to_silver(spark: SparkSession, root: str, day: dt.date | None, run_ts: dt.datetime,
-                     entities: Iterable[str] = tuple(silver.TRANSFORMS)) -> list[str]:
-    """One event day (or everything). Returns the entities that had rows.
+                     entities: Iterable[str] = tuple(silver.TRANSFORMS)) -> dict[str, set[dt.date | None]]:
+    """The arrivals of one day (or all there are). Returns the event days that changed, of each entity with arrivals.
 
-    A day's records may arrive after midnight, and the dynamic overwrite replaces whole days, so a daily run reads the
-    arrival folders from that day on and keeps the records whose event time falls on it.
+    A record has one row, that of its latest version, on that version's event day; so days may be loaded in any order, and
+    again. A daily run opens only its own arrival folders. The event days it rewrites are those of its records and those
+    that hold other versions of them; a day whose last row moved away is deleted.
     """
-    written = []
+    changed = {}
     for entity in entities:
-        raw = lake.read_bronze(spark, root, entity)
-        if day is not None:
-            arrived = F.make_date("ingest_year", "ingest_month", "ingest_day")
-            raw = raw.filter(arrived >= F.lit(day))
+        raw = lake.read_bronze(spark, root, entity, day)
         if raw.isEmpty():  # looks at the first records only
             continue
-        out = silver.TRANSFORMS[entity](raw.drop("_corrupt_record", *lake.ARRIVAL, "run_id", "batch_id"), run_ts)
-        if day is not None:
-            out = out.filter(F.to_date("event_timestamp") == F.lit(day))
-        if lake.write_silver(out, root, entity):
-            written.append(entity)
-    return written
-
-
-def silver_to_gold(spark: SparkSession, root: str, day: dt.date | None, run_ts: dt.datetime) -> None:
-    """All facts, dimensions and KPI tables of a day (or of every day). The shared inputs are read once."""
+        new = silver.TRANSFORMS[entity](raw.drop("_corrupt_record", *lake.ARRIVAL, "run_id", "batch_id"), run_ts)
+        known = None if day is None else lake.known_silver(spark, root, entity)
+        if known is None:
+            changed[entity] = lake.write_silver(new, root, entity)
+            continue
+        new = new.persist(StorageLevel.MEMORY_AND_DISK)  # one day's arrivals
+        try:
+            key, _ = silver.KEYS[entity]
+            moved = known.select(key, *lake.DAY).join(new.select(key), key, "left_semi")  # reads one column of silver
+            at = new.select(*lake.DAY).unionByName(moved.select(*lake.DAY)).distinct()
+            days = {lake.as_day(*r) for r in at.collect()}  # a row a day, not a row a record
+            both = rows.on_day(known, days).unionByName(new, allowMissingColumns=True)
+            lake.write_silver(silver.latest(both, entity), root, entity, days)
+            changed[entity] = days
+        finally:
+            new.unpersist()
+    return changed
+
+
+def silver_to_gold(spark: SparkSession, root: str, day: rows.Days, run_ts: dt.datetime) -> None:
+    """All facts, dimensions and KPI tables of a day, of several days (what ``bronze_to_silver`` changed) or of every day.
+    The shared inputs are read once."""
     orders, clicks, carts, payments = (lake.read_silver(spark, root, e) for e in ("orders", "clickstream", "carts", "payments"))
     today = gold.on_day(orders, day).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         by_day = lake.DAY
-        lake.write_gold(gold.fact_orders(today, None, run_ts), root, "fact_orders", by_day)
-        lake.write_gold(gold.agg_daily_revenue(today, None, run_ts), root, "agg_daily_revenue", by_day)
-        lake.write_gold(gold.agg_hourly_revenue(today, None, run_ts), root, "agg_hourly_revenue", by_day)
+        lake.write_gold(gold.fact_orders(today, None, run_ts), root, "fact_orders", by_day, day)
+        lake.write_gold(gold.agg_daily_revenue(today, None, run_ts), root, "agg_daily_revenue", by_day, day)
+        lake.write_gold(gold.agg_hourly_revenue(today, None, run_ts), root, "agg_hourly_revenue", by_day, day)
         funnel = gold.agg_funnel(gold.on_day(clicks, day), gold.on_day(carts, day), today, None, run_ts)
-        lake.write_gold(funnel, root, "agg_funnel", by_day)
+        lake.write_gold(funnel, root, "agg_funnel", by_day, day)
     finally:
         today.unpersist()
-    lake.write_gold(gold.fact_payments(payments, day, run_ts), root, "fact_payments", by_day)
-    lake.write_gold(gold.fact_clickstream(clicks, day, run_ts), root, "fact_clickstream", by_day)
+    lake.write_gold(gold.fact_payments(payments, day, run_ts), root, "fact_payments", by_day, day)
+    lake.write_gold(gold.fact_clickstream(clicks, day, run_ts), root, "fact_clickstream", by_day, day)
     lake.write_gold(gold.dim_users(orders, clicks, run_ts), root, "dim_users")
     lake.write_gold(gold.dim_products(orders, None, run_ts), root, "dim_products")
     lake.write_gold(gold.dim_time(spark), root, "dim_time")
     lake.write_gold(gold.dim_devices(orders, run_ts), root, "dim_devices")
-    lake.write_gold(gold.agg_product_performance(orders, None, day, run_ts), root, "agg_product_performance", ["year", "month"])
+    lake.write_gold(gold.agg_product_performance(orders, None, day, run_ts), root, "agg_product_performance", ["year", "month"], day)
+
+
+def daily(spark: SparkSession, root: str, day: dt.date, run_ts: dt.datetime) -> set[dt.date | None]:
+    """One arrival day through silver into gold; returns the event days that changed."""
+    changed = set().union(*bronze_to_silver(spark, root, day, run_ts).values())
+    if changed:
+        silver_to_gold(spark, root, changed, run_ts)
+    return changed
 
 
 def full_load(spark: SparkSession, root: str, run_ts: dt.datetime) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.functions.schemas import BRONZE, struct_of
-from tillstream.operators.rows import on_day
+from tillstream.operators.rows import Days, on_day
 
 DAY = ["year", "month", "day"]
 # arrival-time folders; their names must differ from the event-time columns of the records
@@ -75,26 +75,80 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str], r
     (writer.partitionBy(*partition_cols) if partition_cols else writer).parquet(path)
 
 
-def write_silver(df: DataFrame, root: str, entity: str, partition_cols: Sequence[str] = tuple(DAY)) -> int:
-    """Write a silver frame and return its row count, which Spark observes during the write (no extra pass)."""
+def as_day(year: int | None, month: int | None, day: int | None) -> dt.date | None:
+    return None if year is None else dt.date(year, month, day)
+
+
+def _parts(day: dt.date | None, cols: Sequence[str]) -> str:
+    return "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if day is None else getattr(day, c)}" for c in cols)
+
+
+def replace_days(df: DataFrame, path: str, days: Days, partition_cols: Sequence[str] = tuple(DAY),
+                 sort_cols: Sequence[str] = ()) -> set[dt.date | None]:
+    """Write a frame that holds all rows of ``days``, and delete those of these days that it has no row of, which a dynamic
+    overwrite leaves. ``None`` for all days. Returns the days written; Spark observes them during the write."""
     seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    write_partitioned(counted, os.path.join(root, "silver", entity), partition_cols)
-    return seen.get["rows"]
+    at = F.struct(*[F.col(c) if c in partition_cols else F.lit(1).alias(c) for c in DAY])
+    write_partitioned(df.observe(seen, F.collect_set(at).alias("days")), path, partition_cols, sort_cols=sort_cols)
+    written = {as_day(*d) for d in seen.get["days"]}
+    if days is None:
+        stale = {p for p in partition_days(df.sparkSession, path, partition_cols) if p not in written}
+    else:
+        wanted = {days} if isinstance(days, dt.date) else set(days)
+        stale = {d if d is None or "day" in partition_cols else d.replace(day=1) for d in wanted} - written
+    for day in stale:
+        _delete(df.sparkSession, f"{path}/{_parts(day, partition_cols)}")
+    return written
+
+
+def partition_days(spark: SparkSession, path: str, partition_cols: Sequence[str] = tuple(DAY)) -> list[dt.date | None]:
+    """The days (or months) a table has folders of, from its partitions alone."""
+    at = [F.col(c) if c in partition_cols else F.lit(1) for c in DAY]
+    try:
+        return [as_day(*r) for r in spark.read.parquet(path).select(*at).distinct().collect()]
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a table without a row
+            return []
+        raise
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def read_silver(spark: SparkSession, root: str, entity: str, day: dt.date | None = None) -> DataFrame:
-    """A silver table, all of it or one day; the predicate on the partition columns prunes folders."""
+def write_silver(df: DataFrame, root: str, entity: str, days: Days = None) -> set[dt.date | None]:
+    """Replace these days (``None``: all) of a silver table by a frame; returns the days it has rows of."""
+    return replace_days(df, os.path.join(root, "silver", entity), days)
+
+
+def read_silver(spark: SparkSession, root: str, entity: str, day: Days = None) -> DataFrame:
+    """A silver table, all of it or some days; the predicate on the partition columns prunes folders."""
     return on_day(spark.read.parquet(os.path.join(root, "silver", entity)), day)
 
 
+def known_silver(spark: SparkSession, root: str, entity: str) -> DataFrame | None:
+    """A silver table, or nothing before its first load."""
+    try:
+        return read_silver(spark, root, entity)
+    except AnalysisException as error:
+        if _missing_path(error):
+            return None
+        raise
+
+
 # clustering columns of the warehouse facts: row groups then skip on them
 GOLD_SORT = {"fact_orders": ["country", "order_status"], "fact_payments": ["payment_status", "payment_method"],
              "fact_clickstream": ["page_type", "country"]}
 
 
-def write_gold(df: DataFrame, root: str, name: str, partition_cols: Sequence[str] = ()) -> None:
-    write_partitioned(df, os.path.join(root, "gold", name), partition_cols, sort_cols=GOLD_SORT.get(name, ()))
+def write_gold(df: DataFrame, root: str, name: str, partition_cols: Sequence[str] = (), days: Days = None) -> None:
+    """A gold table in full, or the given days of one that is partitioned by date."""
+    path, order = os.path.join(root, "gold", name), GOLD_SORT.get(name, ())
+    if partition_cols:
+        replace_days(df, path, days, partition_cols, order)
+    else:
+        write_partitioned(df, path, partition_cols, sort_cols=order)
 
 
 def read_gold(spark: SparkSession, root: str, name: str, day: dt.date | None = None) -> DataFrame:
