@@ -594,6 +594,13 @@ add("dq_metrics", " UNION ALL ".join(
 _FAILURES = " UNION ALL ".join(
     f"SELECT '{e}' AS entity, '{n}' AS check_name, '{c}' AS category, {cnt_if(w)} AS failures FROM {_DQ[e][0]} WHERE {_JSON}"
     for e in _DQ for n, c, _, w in _FAILS[e])
+add("dq_alerts", f"""
+SELECT {AS_OF} AS raised_at, 'dq' AS source, 'High DQ failure rate: ' || entity AS subject,
+       'Failed records: ' || failed_records || '/' || total_records || ' (' || printf('%.1f', 100.0 - pass_rate_pct) || '%); worst checks: '
+       || coalesce(checks, '') AS message
+FROM summaries LEFT JOIN worst USING (entity) WHERE alert""", summaries=_SUMMARIES, failures=_FAILURES,
+    ranked="SELECT *, row_number() OVER (PARTITION BY entity ORDER BY failures DESC, check_name) AS k FROM failures WHERE failures > 0",
+    worst="SELECT entity, string_agg(check_name || '=' || failures, ', ' ORDER BY k) AS checks FROM ranked WHERE k <= 5 GROUP BY entity")
 add("dq_check_failures", "SELECT entity, check_name, failures FROM failures WHERE failures > 0", failures=_FAILURES)
 add("dq_category_failures", "SELECT entity, category, CAST(sum(failures) AS BIGINT) AS failures FROM failures "
     "WHERE failures > 0 GROUP BY ALL", failures=_FAILURES)
@@ -667,6 +674,11 @@ add("ingest_clickstream", f"""
 SELECT event_id, CASE WHEN e % 83 <> 0 THEN user_id END AS user_id, page_type, {_PARTS.replace('(t)', '(event_timestamp)')},
        {_STAMP} AS ingestion_timestamp
 FROM judged WHERE reason IS NULL""", judged=_judged("clickstream", True))
+_LAG = f"date_diff('microsecond', event_timestamp, {_STAMP}) / 1000000"
+add("ingestion_lag", f"""
+SELECT date_trunc('day', event_timestamp)::TIMESTAMP AS window_start, count(*) AS records, {r(f'quantile_cont({_LAG}, 0.5)', 6)} AS lag_p50,
+       {r(f'quantile_cont({_LAG}, 0.95)', 6)} AS lag_p95, max({_LAG}) AS lag_max
+FROM judged WHERE reason IS NULL GROUP BY 1""", judged=_judged("clickstream", True))
 _T = f"(CASE WHEN {_BAD_TIME} THEN {_STAMP} ELSE event_timestamp END)"
 add("ingest_carts", f"""
 SELECT event_id, CASE WHEN e % 83 <> 0 THEN user_id END AS user_id, action, {r('unit_price * quantity', 2)} AS cart_value,

@@ -60,6 +60,8 @@ def test_batch_summary(spark):
     assert [r.category for r in dq.check_failures(df, "orders", NOW, by="category").collect()] == ["validity"]
     assert {m.metric: m.value for m in dq.metrics(dq.summary(df, "orders", NOW), NOW).collect()}["PassRate"] == 80.0
     assert dq.alerts(dq.summary(df, "orders", NOW), NOW).count() == 1
+    alert = dq.alerts(dq.summary(df, "orders", NOW), NOW, dq.check_failures(df, "orders", NOW)).first()
+    assert alert.message == "Failed records: 1/5 (20.0%); worst checks: positive.total_amount=1"
     v = dq.validate(df, "orders", NOW)
     assert dq.records_by_status(v, True).count() == 4 and dq.records_by_status(v, False).count() == 1
     assert '"overall_status"' not in dq.report_json(v, "orders").first().report

@@ -39,6 +39,13 @@ def test_weighted_rank_counts_the_rows_a_row_stands_for(spark):
     assert got == want
 
 
+def test_one_value_on_most_rows_is_one_row_of_the_window(spark):
+    df = spark.range(20_000).select(F.lit("a").alias("k"), F.when(F.col("id") % 100 == 0, F.col("id") / 7).otherwise(0.0).alias("v"))
+    got = with_rank(df, ["k"], "v", "r").groupBy("v").agg(F.min("r").alias("a"), F.max("r").alias("b")).collect()
+    values = sorted((r.v for r in got if r.v), reverse=True)
+    assert {r.v: (r.a, r.b) for r in got} == {0.0: (200, 200)} | {v: (n, n) for n, v in enumerate(values, 1)}
+
+
 def test_percentiles_equal_brute_force(spark):
     rows = values(4)
     df = spark.createDataFrame(rows, "k string, v double, w int")

@@ -34,21 +34,20 @@ def _offsets(rows: DataFrame, keys: Sequence[str], weight: Column, descending: b
 def with_rank(df: DataFrame, keys: Sequence[str], value: str, name: str, weight: str | None = None) -> DataFrame:
     """``rank()`` by ``value`` descending within ``keys``; a row may stand for ``weight`` equal rows."""
     w = F.col(weight) if weight else F.lit(1)
-    rows = df.withColumn("_bucket", magnitude_bucket(F.col(value)))
     # The totals read every column (adding zero): both branches then need the same columns, their input plans are equal,
     # and Spark reuses the input's shuffle instead of computing the joins and aggregates below it a second time.
     zero = F.hash(*[F.col(c) for c in df.columns]).bitwiseAND(F.lit(0))
-    offsets = _offsets(rows, keys, w + zero, descending=True)
-    local = Window.partitionBy(*keys, "_bucket").orderBy(F.col(value).desc_nulls_last())
-    if weight is None:
-        rows = rows.withColumn("_local", F.rank().over(local).cast("long"))
-    else:
-        greater = local.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-        same = Window.partitionBy(*keys, "_bucket", value)
-        rows = rows.withColumn("_local", F.sum(w).over(greater) - F.sum(w).over(same) + 1)
-    out = join_on(rows, offsets, [*keys, "_bucket"], "inner", null_safe=True)
-    return out.withColumn(name, (F.col("_before") + F.col("_local")).cast("long")).drop(
-        "_bucket", "_before", "_total", "_local")
+    # Equal values are counted before any window, so one value on most rows costs a single row; the join that gives rows
+    # their rank can be split where a value is that frequent.
+    counts = (df.groupBy(*keys, value).agg(F.sum(w + zero).alias("_n"))
+              .withColumn("_bucket", magnitude_bucket(F.col(value))))
+    offsets = _offsets(counts, keys, F.col("_n"), descending=True)
+    greater = (Window.partitionBy(*keys, "_bucket").orderBy(F.col(value).desc_nulls_last())
+               .rowsBetween(Window.unboundedPreceding, -1))
+    local = counts.withColumn("_local", F.coalesce(F.sum("_n").over(greater), F.lit(0)))
+    ranks = join_on(local, offsets, [*keys, "_bucket"], "inner", null_safe=True)
+    ranks = ranks.select(*keys, value, (F.col("_before") + F.col("_local") + 1).cast("long").alias(name))
+    return join_on(df, ranks, [*keys, value], "inner", null_safe=True)
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: Column, names: dict[str, float],

@@ -639,6 +639,13 @@ def dq_metrics(spark, folder):
     return dq.metrics(dq_summary(spark, folder), AS_OF)
 
 
+@query
+def dq_alerts(spark, folder):
+    parsed = {e: _parsed(spark, folder, e) for e in dq.CHECK_SETS}
+    failures = reduce(DataFrame.unionByName, [dq.check_failures(df, e, AS_OF) for e, df in parsed.items()])
+    return dq.alerts(dq_summary(spark, folder), AS_OF, failures)
+
+
 @query
 def dq_check_failures(spark, folder):
     return reduce(DataFrame.unionByName, [dq.check_failures(_parsed(spark, folder, e), e, AS_OF) for e in dq.CHECK_SETS])
@@ -729,6 +736,12 @@ def dlq_redrive(spark, folder):
 
 @query
 def ingestion_lag(spark, folder):
+    clicks = _outcome(spark, folder, "clickstream").accepted
+    return windows.ingestion_lag(clicks.withColumn("event_timestamp", F.try_to_timestamp("event_timestamp")), "1 day", exact=True)
+
+
+@query
+def ingestion_lag_approx(spark, folder):
     clicks = _outcome(spark, folder, "clickstream").accepted
     return windows.ingestion_lag(clicks.withColumn("event_timestamp", F.try_to_timestamp("event_timestamp")), "1 day")
 

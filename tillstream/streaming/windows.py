@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.functions import exprs as x
+from tillstream.operators.ranking import exact_percentiles
 
 
 def _late(df: DataFrame, ts: str, watermark: str | None) -> DataFrame:
@@ -46,11 +47,22 @@ def pass_rate_series(validated: DataFrame, entity: str, ts: str, size: str = "5
              x.pct("passed", "records").alias("pass_rate_pct"), "critical_failures", "avg_quality_score")
 
 
-def ingestion_lag(accepted: DataFrame, size: str = "5 minutes", watermark: str | None = None) -> DataFrame:
-    """Seconds from event to arrival per window of the event time: mean, sketch percentiles, maximum."""
+def ingestion_lag(accepted: DataFrame, size: str = "5 minutes", watermark: str | None = None,
+                  exact: bool = False) -> DataFrame:
+    """Seconds from event to arrival per window of the event time: percentiles and maximum.
+
+    Percentiles are sketches, which a stream can keep, or (``exact``, batch only) interpolated between the lags in microseconds.
+    """
     lag = F.unix_micros("ingestion_timestamp") - F.unix_micros("event_timestamp")
     rows = _late(accepted, "event_timestamp", watermark).withColumn("lag", (lag / 1_000_000).cast("double"))
+    rows = rows.filter("lag is not null")
+    if exact:
+        rows = rows.select(F.window("event_timestamp", size).getField("start").alias("window_start"), "lag")
+        totals = rows.groupBy("window_start").agg(F.count(F.lit(1)).alias("records"), F.max("lag").alias("lag_max"))
+        p = exact_percentiles(rows, ["window_start"], F.col("lag"), {"lag_p50": 0.5, "lag_p95": 0.95}, scale=6)
+        return totals.join(p, "window_start").select("window_start", "records", x.rnd("lag_p50", 6).alias("lag_p50"),
+                                                     x.rnd("lag_p95", 6).alias("lag_p95"), "lag_max")
     p = F.percentile_approx("lag", [0.5, 0.95], 1000)
-    return rows.filter("lag is not null").groupBy(F.window("event_timestamp", size)).agg(
+    return rows.groupBy(F.window("event_timestamp", size)).agg(
         F.count(F.lit(1)).alias("records"), p[0].alias("lag_p50"), p[1].alias("lag_p95"), F.max("lag").alias("lag_max")
     ).select(F.col("window.start").alias("window_start"), "records", "lag_p50", "lag_p95", "lag_max")
