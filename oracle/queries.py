@@ -598,7 +598,7 @@ add("dq_alerts", f"""
 SELECT {AS_OF} AS raised_at, 'dq' AS source, 'High DQ failure rate: ' || entity AS subject,
        'Failed records: ' || failed_records || '/' || total_records || ' (' || printf('%.1f', 100.0 - pass_rate_pct) || '%); worst checks: '
        || coalesce(checks, '') AS message
-FROM summaries LEFT JOIN worst USING (entity) WHERE alert""", summaries=_SUMMARIES, failures=_FAILURES,
+FROM summaries LEFT JOIN worst USING (entity) WHERE failed_records > 0.01 * total_records""", summaries=_SUMMARIES, failures=_FAILURES,
     ranked="SELECT *, row_number() OVER (PARTITION BY entity ORDER BY failures DESC, check_name) AS k FROM failures WHERE failures > 0",
     worst="SELECT entity, string_agg(check_name || '=' || failures, ', ' ORDER BY k) AS checks FROM ranked WHERE k <= 5 GROUP BY entity")
 add("dq_check_failures", "SELECT entity, check_name, failures FROM failures WHERE failures > 0", failures=_FAILURES)

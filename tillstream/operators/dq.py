@@ -216,12 +216,13 @@ def metrics(summaries: DataFrame, measured_at: dt.datetime) -> DataFrame:
     return summaries.select(F.lit(measured_at).alias("measured_at"), "entity", F.inline(pairs))
 
 
-def alerts(summaries: DataFrame, raised_at: dt.datetime, failures: DataFrame | None = None, worst: int = 5) -> DataFrame:
-    """An alert for each entity of which too many records fail. With ``failures`` (rows of ``check_failures``, one a check)
+def alerts(summaries: DataFrame, raised_at: dt.datetime, failures: DataFrame | None = None, worst: int = 5,
+           above_pct: float = 10.0) -> DataFrame:
+    """An alert for each entity of which more than a share of the records fail. With ``failures`` (rows of ``check_failures``, one a check)
     the message names the checks that fail most, the first in alphabetical order where equally often."""
     rate = F.format_string("%.1f", 100.0 - F.col("pass_rate_pct"))
     text = F.concat(F.lit("Failed records: "), "failed_records", F.lit("/"), "total_records", F.lit(" ("), rate, F.lit("%)"))
-    rows = summaries.filter("alert")
+    rows = summaries.filter(F.col("failed_records") * 100 > F.col("total_records") * above_pct)
     if failures is not None:
         ordered = F.sort_array(F.collect_list(F.struct((-F.col("failures")).alias("n"), "check_name")))
         named = F.transform(F.slice(ordered, 1, worst), lambda c: F.concat(c["check_name"], F.lit("="), -c["n"]))

@@ -643,7 +643,7 @@ def dq_metrics(spark, folder):
 def dq_alerts(spark, folder):
     parsed = {e: _parsed(spark, folder, e) for e in dq.CHECK_SETS}
     failures = reduce(DataFrame.unionByName, [dq.check_failures(df, e, AS_OF) for e, df in parsed.items()])
-    return dq.alerts(dq_summary(spark, folder), AS_OF, failures)
+    return dq.alerts(dq_summary(spark, folder), AS_OF, failures, above_pct=1.0)
 
 
 @query
