@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 DIMENSIONS = 1 << 14
 SAMPLE = 4000  # paragraphs of the corpus to learn ``none`` from: those of the smallest hash
+SAMPLE_CHARS = 4000  # of each of these, so that the driver holds a bounded sample; scanned paragraphs are read whole
 EXCERPTS = 120  # of each family
 THRESHOLD = 0.5
 CONFIRMED = 0.5  # of the paragraph's word pairs, in one template
@@ -159,15 +160,15 @@ class Classifier:
         return FAMILIES[best], float(p[best])
 
 
-def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Classifier:
-    """Learns from at most ``sample`` different paragraphs that have no word pair of a template.
+def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> Classifier:
+    """Learns from at most ``sample`` different paragraphs that have no word pair of a template, ``sample_chars`` of each.
 
     They are those of the smallest hashes. A bound on the hash that leaves about twice as many comes first, so that tasks
     hand over few paragraphs however many tasks there are, and a paragraph with many copies counts once.
     """
     names = sorted({" ".join(p) for p in ALL_PAIRS})
     lines = docs.select(F.explode(paragraphs(F.col(text))).alias("p")).where(F.length(F.trim("p")) > 0)
-    lines = lines.select(F.substring("p", 1, 4000).alias("p")).select("p", F.xxhash64("p").alias("h"))
+    lines = lines.select(F.substring("p", 1, sample_chars).alias("p")).select("p", F.xxhash64("p").alias("h"))
     different = lines.agg(F.approx_count_distinct("h")).first()[0]
     if different > 2 * sample:
         lines = lines.where(F.col("h") < int(-2 ** 63 + 2 ** 64 * (2 * sample / different)))
