@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 
 DIMENSIONS = 1024
 FIT_ROWS = 2000  # labelled texts of each language to learn from
-BUCKETS = 256
 MAX_LANGUAGES = 4096  # prototypes are sent to every executor
 PIECE = 1 << 20
 BLOCK_CHARS = 1 << 18  # texts are bundled together up to this many characters
@@ -111,14 +110,16 @@ def fit(docs: DataFrame, id_col: str, text: str, lang: str, learn_from: Column,
     is one vector a language."""
     rows = docs.where(learn_from & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    # the rows of smallest hash, first of each bucket and then of all: no window holds a whole language
-    order = [F.xxhash64("id"), F.col("id")]
-    first = rows.select("id", "lang", F.pmod(F.xxhash64("id", F.lit("bucket")), F.lit(BUCKETS)).alias("b"))
-    first = first.withColumn("n", F.row_number().over(Window.partitionBy("lang", "b").orderBy(*order))).where(
-        F.col("n") <= fit_rows)
-    chosen = (first.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+    # the rows of smallest hash; a bound on the hash that leaves about twice as many of each language comes before the
+    # window and before any text is shuffled
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    share = F.least(F.lit(1.0), F.lit(2.0 * fit_rows) / F.col("rows"))
+    few = rows.withColumn("h", F.xxhash64("id")).join(counts, "lang").where(
+        F.col("h").cast("double") / 2.0 ** 64 + 0.5 <= share).drop("rows")
+    of_language = Window.partitionBy("lang").orderBy("h", "id")
+    chosen = (few.select("id", "lang", "h").withColumn("n", F.row_number().over(of_language))
               .where(F.col("n") <= fit_rows).select("id", "lang").distinct())
-    sample = rows.join(chosen, ["id", "lang"], "left_semi").select("lang", "text")
+    sample = few.join(chosen, ["id", "lang"], "left_semi").select("lang", "text")
 
     def bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
