@@ -113,8 +113,12 @@ def fit(docs: DataFrame, id_col: str, text: str, lang: str, learn_from: Column,
     # the rows of smallest hash; a bound on the hash that leaves about twice as many of each language comes before the
     # window and before any text is shuffled
     counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    found = counts.limit(MAX_LANGUAGES + 1).collect()
+    if len(found) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    counts = docs.sparkSession.createDataFrame(found, counts.schema)
     share = F.least(F.lit(1.0), F.lit(2.0 * fit_rows) / F.col("rows"))
-    few = rows.withColumn("h", F.xxhash64("id")).join(counts, "lang").where(
+    few = rows.withColumn("h", F.xxhash64("id")).join(F.broadcast(counts), "lang").where(
         F.col("h").cast("double") / 2.0 ** 64 + 0.5 <= share).drop("rows")
     of_language = Window.partitionBy("lang").orderBy("h", "id")
     chosen = (few.select("id", "lang", "h").withColumn("n", F.row_number().over(of_language))
@@ -137,10 +141,8 @@ def fit(docs: DataFrame, id_col: str, text: str, lang: str, learn_from: Column,
     parts = sample.mapInArrow(bundled, "lang string, v array<double>").select("lang", F.posexplode("v").alias("k", "x"))
     sums = parts.groupBy("lang", "k").agg(F.round(F.sum("x"), 9).alias("x"))
     got: dict[str, np.ndarray] = {}
-    for r in sums.limit((MAX_LANGUAGES + 1) * DIMENSIONS).collect():
+    for r in sums.limit(MAX_LANGUAGES * DIMENSIONS).collect():
         got.setdefault(r["lang"], np.zeros(DIMENSIONS))[r["k"]] = r["x"]
-    if len(got) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     names = sorted(got)
     if not names:
         return [], np.zeros((0, DIMENSIONS), np.float32)
