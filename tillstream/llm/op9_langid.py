@@ -110,8 +110,8 @@ def fit(docs: DataFrame, id_col: str, text: str, lang: str, learn_from: Column,
     is one vector a language."""
     rows = docs.where(learn_from & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    # the rows of smallest hash; a bound on the hash that leaves about twice as many of each language comes before the
-    # window and before any text is shuffled
+    # the rows of smallest hash; a bound on the hash that leaves about twice as many of each language comes first, so that no
+    # window holds a whole language
     counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
     found = counts.limit(MAX_LANGUAGES + 1).collect()
     if len(found) > MAX_LANGUAGES:
