@@ -21,9 +21,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each linked group."""
+    """Keeps the document of the smallest id of each group linked by a Jaccard similarity of 0.8 or more on five words."""
     ship(spark)
-    return op8_jaccard.one_each(docs)
+    return op8_jaccard.one_each(docs, size=5, percent=80)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -117,6 +117,33 @@ def test_jaccard_components(docs, none):
     assert kept.columns == docs.columns and {r[0] for r in kept.select("doc_id").collect()} >= {1, 6, 7, 8, None}
 
 
+def test_near_duplicates_stage(spark):
+    import corpus_pipeline
+
+    def edited(name, n, at):
+        return " ".join(f"{name}{k}" if k not in at else f"edit{name}{k}" for k in range(n))
+
+    texts = {}
+    for name, n in (("a", 200), ("b", 120), ("c", 60), ("d", 400)):
+        for edits in range(8):  # isolated edits, and runs of edits
+            texts[len(texts)] = edited(name, n, set(range(7, 7 * edits + 1, 7)))
+            texts[len(texts)] = edited(name, n, set(range(20, 20 + 2 * edits)))
+    texts |= {100: "q r s t u v w x", 101: "Q R S T U V W X Y", 102: "q r s", 103: "q r s t", 104: "q r s", 105: None, 106: ""}
+    sets = {}
+    for i, t in texts.items():
+        w = (t or "").lower().split()
+        sets[i] = {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    least = {i: i for i in texts}
+    for _ in texts:
+        for a, x in sets.items():
+            for b, y in sets.items():
+                if x and y and 100 * len(x & y) >= 80 * len(x | y):
+                    least[a] = min(least[a], least[b])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert rows(kept) == sorted(((i, t) for i, t in texts.items() if least[i] == i), key=repr)
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(50)] + [(100, 101), (7, 7)], "u long, v long")
     assert rows(components(edges)) == sorted([(k, 0) for k in range(1, 51)] + [(101, 100)], key=repr)
