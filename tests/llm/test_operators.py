@@ -227,6 +227,21 @@ def test_long_texts_lose_no_trigram():
     assert (op9_langid.unit(whole) * op9_langid.unit(pieces)).sum() > 0.999
 
 
+def test_shards_of_a_group_larger_than_one(spark):
+    # a third of the rows are one text, a third are pairs, a third have no copy
+    many = spark.range(2400).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "large").when(
+        F.col("id") % 3 == 1, F.concat(F.lit("pair"), F.floor(F.col("id") / 6))).otherwise(F.concat(F.lit("one"), "id")).alias("text"))
+    got = op1_shards.sharded(many).collect()
+    assert set(collections.Counter(r["shard"] for r in got).values()) == {100}
+    large = collections.Counter(r["shard"] for r in got if r["group_rows"] == 800)
+    assert sum(n * (n - 1) for n in large.values()) == 8 * 100 * 99  # 12.5 percent of its pairs
+    homes = collections.defaultdict(set)
+    for r in got:
+        if r["group_rows"] == 2:
+            homes[r["text_crc32"]].add(r["shard"])
+    assert len(homes) == 400 and sum(len(h) == 1 for h in homes.values()) == 400
+
+
 def test_chat_recovers_turns(spark, folder, none):
     ship(spark)
     talk = spark.read.parquet(f"{folder}/conversations.parquet")
