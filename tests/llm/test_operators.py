@@ -271,6 +271,38 @@ def test_licences(spark, docs, none):
     assert not op6_licences.scan(none, op6_licences.fit(none)).collect()
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify,
+merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished
+to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies
+or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED."""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the
+following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and
+the following disclaimer in the documentation and/or other materials provided with the distribution."""
+
+
+def test_licences_in_long_paragraphs(spark, docs):
+    model = op6_licences.fit(docs)
+    mit, bsd = MIT.replace("\n", " "), BSD.replace("\n", " ")
+    assert model.judge(mit)[0] == "MIT" and model.judge(bsd)[0] == "BSD"
+    assert model.judge(mit[:mit.index(": The above")])[0] == "MIT"
+    assert model.judge(bsd[bsd.index("Redistributions of"):bsd.index(" 2. ")])[0] == "BSD"
+    plain = [f"plain{k}" for k in range(3000)]
+    for family, texts in op6_licences.TEMPLATES.items():
+        for t in texts:
+            assert model.judge(" ".join([*plain[:21], t, *plain[21:]]))[0] == family, t
+    for t, family in (("This project is distributed under the terms of the MIT License, see the file.", "MIT"),
+                      ("The code is made available under the Apache License, version 2.0 by its authors.", "Apache"),
+                      ("All texts are released under a Creative Commons Attribution 4.0 International licence.", "CC-BY")):
+        assert model.judge(t)[0] == family, t
+    both = " ".join([*plain[:9], "Licensed under the MIT license.", *plain[9:99], "Licensed under the BSD license."])
+    got = op6_licences.scan(spark.createDataFrame([(both,)], "text string"), model).first()["licence"]
+    assert got["families"] == ["MIT", "BSD"] and got["n_paragraphs"] == 1 and got["n_unknown"] == 0
+    assert not model.found("The museum is open to the public at the end of the day, in the hope that it will be useful to all of the town.")
+    assert not model.found(" ".join(plain))
+
+
 def test_warc_derivatives(spark):
     ship(spark)
     page = ("<html><head><title>A &amp; B</title><script>x<p></script></head><body><!-- c --><p>One <b>two</b></p>"
