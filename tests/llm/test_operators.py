@@ -259,6 +259,24 @@ def test_chat_recovers_turns(spark, folder, none):
     assert not op3_chat.parsed(empty.drop("role"), op3_chat.fit(empty)).collect()
 
 
+def test_chat_cuts_change_nothing(spark, folder):
+    ship(spark)
+    talk = spark.read.parquet(f"{folder}/conversations.parquet")
+    part = op3_chat.transcript_part(*(F.col(c) for c in ("conv_id", "turn", "role", "text")))
+    model = op3_chat.fit(talk.select(F.col("conv_id").alias("conv"), F.col("turn").alias("part"), "role", part.alias("text")))
+    lines = ["User: what is this?\n", "it is a thing\n", "plain", None, "Assistant: yes\n", "more\nof it\n", "and more", "", "so?\n", "no\n"]
+    parts = [(1, k, lines[k * 7 % 10]) for k in range(150)] + [(None, None, lines[k % 10]) for k in range(60)]
+    parts += [(2, 5, "User: a\n")] * 9 + [(3, k + 1000, "goes on") for k in range(40)] + [(4, 0, "Assistant: b")]
+    want = []
+    for conv in (1, None, 2, 3, 4):
+        own = sorted((p for p in parts if p[0] == conv), key=lambda p: (p[1] or 0, p[2] is not None, p[2] or ""))
+        want += [(conv, *t) for t in op3_chat.turns_of([p[2] for p in own], model)]
+    table = spark.createDataFrame(parts, "conv long, part long, text string").repartition(3)
+    for span in (4, 512):
+        got = op3_chat.parsed(table, model, span).orderBy("conv", "turn").collect()
+        assert [tuple(r)[:1] + tuple(r)[2:] for r in got] == sorted(want, key=lambda t: (t[0] is not None, t[0] or 0)), span
+
+
 def test_licences(spark, docs, none):
     model = op6_licences.fit(docs)
     got = {(r["doc_id"], r["text"]): r["licence"] for r in op6_licences.scan(docs, model).collect()}
