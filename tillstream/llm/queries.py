@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.llm import (op1_shards, op2_bpe, op3_chat, op4_decontaminate, op5_quality, op6_licences, op7_warc,
-                            op8_jaccard, op9_langid, op10_substring)
+                            op8_jaccard, op9_langid, op10_substring, op11_resample, op12_exact, op13_periodic)
 from tillstream.llm.scratch import ship
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -79,6 +79,24 @@ def substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("doc", "doc_id")
 
 
+def resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    found = op11_resample.resampled(docs, target).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
+
+
+def exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = op12_exact.decided(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    seed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    found = op13_periodic.analysed(docs, "doc_id", F.col("text"), seed, whole=False).withColumnRenamed("id", "doc_id")
+    return found.drop("runs", "collapsed")
+
+
 QUERIES = {
     "op1_shards": shards,
     "op2_bpe": bpe,
@@ -90,6 +108,16 @@ QUERIES = {
     "op8_jaccard": jaccard,
     "op9_language": language,
     "op10_substring": substring,
+    "op11_resample": resample,
+    "op12_exact": exact,
+    "op13_periodic": periodic,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op12_exact": """
+        WITH own AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+                     AS same FROM documents)
+        SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+               doc_id = max(doc_id) OVER g AS kept, sha256(same) AS text_sha256
+        FROM own WINDOW g AS (PARTITION BY same)""",
+}

@@ -15,9 +15,11 @@ CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def folder(spark: SparkSession) -> str:
-    """The shared folder the session names; where it names none (tests, one machine) a temporary one."""
+    """The shared folder the session names. Where it names none, a temporary one if driver and executors are one process."""
     named = spark.conf.get(KEY, None) or spark.sparkContext.getConf().get(KEY)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{KEY} must name a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="tillstream-")
         spark.conf.set(KEY, named)
     return f"{named.rstrip('/')}/{spark.sparkContext.applicationId}"
@@ -34,7 +36,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEAN, before)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables made by ``written``. Nothing that still has to be computed may read them; a frame that is no such
+    table is left alone."""
+    for table in tables:
+        if path := table.__dict__.pop("scratch_path", None):
+            spark = table.sparkSession
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 _SHIPPED: set[str] = set()
