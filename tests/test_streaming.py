@@ -1,13 +1,14 @@
 import base64
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from tillstream.operators import dq
 from tillstream.plans import jobs as batch_jobs
-from tillstream.sources import lake, payloads, stage
+from tillstream.sources import lake, payloads, snapshots, stage
 from tillstream.streaming import ingest, jobs, windows
 
 T0 = dt.datetime(2024, 1, 6, 9)
@@ -118,7 +119,7 @@ def test_stream_equals_batch(spark, folder, tmp_path):
     want = ingest.batch_summary(static, entity).first()
     assert tuple(total) == (want.total_records, want.valid_records, want.failed_records, want.duplicate_records)
     assert total.total_records == total.valid_records + total.failed_records + total.duplicate_records
-    assert spark.read.parquet(f"{tmp_path}/lake/dlq/{entity}").count() == want.failed_records
+    assert jobs.read_letters(spark, f"{tmp_path}/lake", entity).count() == want.failed_records
 
     # a replayed batch replaces its own output; the same records in a later batch are duplicates
     first = spark.read.parquet(f"{tmp_path}/in/{entity}/part-00000*")
@@ -181,15 +182,19 @@ def test_key_folders_opened_do_not_grow(spark, tmp_path):
 def test_redrive_ends_in_bronze_once(spark, tmp_path):
     lakes = f"{tmp_path}/lake"
     letter = [(json.dumps(ORDER), "S3 write failed: x", T0, "orders", "prod", dt.date(2024, 1, 6))]
-    (spark.createDataFrame(letter, "original_record string, reason string, failed_at timestamp, stream string, environment string, "
-                                   "failed_date date").withColumns({"run_id": F.lit("run-0"), "batch_id": F.lit(0)})
-     .write.partitionBy("failed_date", "run_id", "batch_id").parquet(f"{lakes}/dlq/orders"))
-    for _ in range(2):
+    letter = spark.createDataFrame(letter, "original_record string, reason string, failed_at timestamp, stream string, environment string, "
+                                   "failed_date date")
+    for again in range(2):
+        for batch_id in (0, 0):  # a batch that is replayed is not read twice
+            snapshots.append(spark, jobs.letters_path(lakes, "orders"), letter, ["failed_date"], "run-0", batch_id)
+        if again:
+            jobs.start_triage(spark, lakes, "orders", f"{tmp_path}/cp/triage2").awaitTermination(120)
         jobs.start_triage(spark, lakes, "orders", f"{tmp_path}/cp/triage").awaitTermination(120)
         q = jobs.start_redrive(spark, lakes, "orders", f"{tmp_path}/cp/redrive")
         q.awaitTermination(120)
         assert q.exception() is None
     assert [r.order_id for r in lake.read_bronze(spark, lakes, "orders").select("order_id").collect()] == ["ORD-1"]
+    assert jobs.read_letters(spark, lakes, "orders").count() == 1
 
 
 def test_state_store_dedup(spark, tmp_path):
@@ -243,13 +248,13 @@ def test_whole_pipeline_and_reruns(spark, folder, tmp_path):
         fact = lake.read_version(spark, f"{root}/warehouse/fact_orders", WAREHOUSE["fact_orders"])
         assert fact.count() == counts["fact_orders"]
         assert fact.filter("date_key is null or order_total is null or device_sk is null").count() == 0
-    staged = stage.stage_stream(spark, root, "fact_payments", run_ts)
-    q = (staged.writeStream.format("parquet").option("path", f"{tmp_path}/stg").option("checkpointLocation", f"{tmp_path}/cp")
-         .trigger(availableNow=True).start())
-    q.awaitTermination(120)
-    assert spark.read.parquet(f"{tmp_path}/stg").count() == counts["fact_payments"]
-    lake.register(spark, "silver_orders_t", f"{root}/silver/orders", "order_id string, total_amount double, year int, month int, day int",
-                  lake.DAY)
+    for checkpoint in ("cp", "cp", "cp2"):  # started again, and with a new checkpoint
+        q = stage.start_stage(spark, root, "fact_payments", run_ts, f"{tmp_path}/{checkpoint}", max_versions=1)
+        q.awaitTermination(120)
+        assert q.exception() is None
+        staged = snapshots.read(spark, f"{root}/stage/fact_payments")
+        assert (staged.count(), staged.select("payment_id").distinct().count()) == (counts["fact_payments"],) * 2
+    snapshots.publish(spark, "silver_orders_t", f"{root}/silver/orders")
     assert spark.table("silver_orders_t").count() == counts["fact_orders"]
     spark.sql("DROP TABLE silver_orders_t")
     assert batch_jobs.refresh(spark, root, "fact_orders", day).count() <= counts["fact_orders"]
@@ -285,6 +290,101 @@ def test_silver_does_not_depend_on_the_order_of_runs(spark, tmp_path, runs):
     assert {r.day: r.n for r in revenue} == {5: 2, 7: 1}
 
 
+def test_unreadable_lines_are_set_aside(spark, tmp_path):
+    root, day = f"{tmp_path}/lake", dt.date(2024, 1, 6)
+    lake.write_bronze(ingest.process(ingest.classify(batch(spark, ORDER), "orders"), "orders").accepted, root, "orders", 0)
+    at = f"{root}/bronze/orders/ingest_year=2024/ingest_month=1/ingest_day=6/ingest_hour=9/run_id=r/batch_id=9"
+    spark.createDataFrame([('{"order_id": "ORD-9", "event_id": ',), ("no json",)], "value string").coalesce(1).write.text(at)
+    for _ in range(2):
+        batch_jobs.bronze_to_silver(spark, root, day, dt.datetime(2024, 2, 1), ["orders"])
+        kept = snapshots.read(spark, f"{root}/corrupt/orders")
+        assert sorted(r.line for r in kept.collect()) == ["no json", '{"order_id": "ORD-9", "event_id": ']
+    assert lake.read_silver(spark, root, "orders").count() == 1
+
+
+def lake_of(spark, tmp_path, days):
+    """Silver orders of some days, n a day, written straight."""
+    root = f"{tmp_path}/lake"
+    for entity in ingest.ENTITIES:
+        records = [{**r, "event_timestamp": f"2024-01-{d:02d}T08:00:00+00:00", "event_id": f"{r['event_id']}-{d}",
+                    **({"order_id": f"{r['order_id']}-{d}", "order_status": "placed"} if entity == "orders" else {}),
+                    **({"payment_id": f"{r['payment_id']}-{d}"} if entity == "payments" else {})}
+                   for d in days for r in RECORDS[entity]]
+        lake.write_bronze(ingest.process(ingest.classify(batch(spark, *records), entity), entity).accepted, root, entity, 0)
+    batch_jobs.bronze_to_silver(spark, root, None, dt.datetime(2024, 2, 1))
+    batch_jobs.silver_to_gold(spark, root, None, dt.datetime(2024, 2, 1))
+    return root
+
+
+def test_loads_take_what_changed(spark, tmp_path):
+    """A day of gold is written anew, one of its orders changed: the stage has every row once, the warehouse rewrites one day."""
+    root, run_ts = lake_of(spark, tmp_path, [1, 2, 3, 4]), dt.datetime(2024, 2, 1)
+    batch_jobs.full_load(spark, root, run_ts)
+    stage.start_stage(spark, root, "fact_orders", run_ts, f"{tmp_path}/cp").awaitTermination(120)
+    first = snapshots.load(spark, f"{root}/warehouse/fact_orders")
+    facts = lake.read_gold(spark, root, "fact_orders", dt.date(2024, 1, 2))
+    changed = facts.withColumn("order_status", F.when(F.col("order_id") == "ORD-1-2", "cancelled").otherwise(F.col("order_status")))
+    lake.write_gold(changed, root, "fact_orders", lake.DAY, dt.date(2024, 1, 2))
+    assert [r.order_id for r in stage.stage_load(spark, root, "fact_orders", run_ts, 1).collect()] == ["ORD-1-2"]
+
+    later = dt.datetime(2024, 2, 2)
+    batch_jobs.full_load(spark, root, later)
+    second = snapshots.load(spark, f"{root}/warehouse/fact_orders")
+    assert {p for p in second.parts if second.parts[p] != first.parts[p]} == {"date_key=20240102"}
+    fact = snapshots.read(spark, f"{root}/warehouse/fact_orders")
+    assert {(r.order_id, r.order_status) for r in fact.filter(F.col("loaded_at") == F.lit(later)).collect()} == {("ORD-1-2", "cancelled")}
+    feed = snapshots.changes(spark, f"{root}/warehouse/fact_orders", first.version).collect()
+    assert [(r.change, r.order_id) for r in feed] == [("update", "ORD-1-2")]
+    report = snapshots.load(spark, f"{root}/warehouse/rpt_daily_revenue")
+    from tillstream.plans import views
+    key = lambda r: tuple(map(str, r))
+    columns = sorted(views.rpt_daily_revenue(fact).columns)
+    assert sorted(map(key, snapshots.read(spark, f"{root}/warehouse/rpt_daily_revenue").select(*columns).collect())) == sorted(
+        map(key, views.rpt_daily_revenue(fact).select(*columns).collect()))
+    batch_jobs.full_load(spark, root, later)  # nothing new
+    assert snapshots.load(spark, f"{root}/warehouse/fact_orders") == second
+    assert snapshots.load(spark, f"{root}/warehouse/rpt_daily_revenue") == report
+
+    for checkpoint in ("cp", "other"):
+        q = stage.start_stage(spark, root, "fact_orders", run_ts, f"{tmp_path}/{checkpoint}")
+        q.awaitTermination(120)
+        staged = snapshots.read(spark, f"{root}/stage/fact_orders")
+        assert staged.count() == 16 and staged.select("order_id").distinct().count() == 16
+        assert staged.filter("order_status = 'cancelled'").count() == 1
+    assert lake.vacuum(spark, root, 1, -10) > 0 and snapshots.read(spark, f"{root}/warehouse/fact_orders").count() == 16
+
+
+def test_refresh_reads_its_window(spark, tmp_path):
+    root = lake_of(spark, tmp_path, [1, 2, 3, 4, 5, 6])
+    path, days = f"{root}/bi/fact_orders", lambda df: {r.day: r.n for r in df.groupBy("day").agg(F.count("*").alias("n")).collect()}
+    got = batch_jobs.refresh(spark, root, "fact_orders", dt.date(2024, 1, 4), refresh_days=2, archive_days=4)
+    assert days(got) == {1: 4, 2: 4, 3: 4, 4: 4}
+    before = snapshots.load(spark, path)
+    for day in (1, 2, 4):  # gold loses a row on each of these days
+        rows = lake.read_gold(spark, root, "fact_orders", dt.date(2024, 1, day)).filter(f"order_id <> 'ORD-0-{day}'")
+        lake.write_gold(rows, root, "fact_orders", lake.DAY, dt.date(2024, 1, day))
+    got = batch_jobs.refresh(spark, root, "fact_orders", dt.date(2024, 1, 5), refresh_days=2, archive_days=4)
+    assert days(got) == {2: 4, 3: 4, 4: 3, 5: 4}  # 1 left the archive, 2 is behind the window, 4 was read anew, 5 is new
+    after = snapshots.load(spark, path)
+    assert {p for p in after.parts if after.parts[p] == before.parts.get(p)} == {f"year=2024/month=1/day={d}" for d in (2, 3)}
+    assert set(after.changed) == {f"year=2024/month=1/day={d}" for d in (1, 4, 5)}
+    assert batch_jobs.refresh(spark, root, "fact_orders", dt.date(2024, 1, 5), refresh_days=2, archive_days=4).count() == 15
+    assert days(batch_jobs.refresh(spark, root, "fact_orders", dt.date(2024, 1, 5), 2, 5)) == {1: 3, 2: 4, 3: 4, 4: 3, 5: 4}
+
+
+def test_files_that_cannot_be_read_are_told(spark, tmp_path):
+    root = lake_of(spark, tmp_path, [1, 2])
+    file = lake.read_gold(spark, root, "fact_payments", dt.date(2024, 1, 2)).inputFiles()[0]
+    assert stage.skipped_files(spark, root, "fact_payments").count() == 0
+    with open(file.removeprefix("file://"), "wb") as f:
+        f.write(b"damaged" * 100)
+    crc = os.path.join(os.path.dirname(file.removeprefix("file://")), f".{os.path.basename(file)}.crc")
+    if os.path.exists(crc):
+        os.truncate(crc, 0)
+    assert stage.stage_load(spark, root, "fact_payments", T0).count() == 4
+    assert [r.file.rsplit("/", 1)[1] for r in stage.skipped_files(spark, root, "fact_payments").collect()] == [os.path.basename(file)]
+
+
 def test_missing_bronze_is_empty(spark, tmp_path):
     assert lake.read_bronze(spark, str(tmp_path), "orders").isEmpty()
     assert batch_jobs.bronze_to_silver(spark, str(tmp_path), None, T0) == {}

@@ -1,11 +1,12 @@
 """Upserts, change feeds and the warehouse load.
 
-``merge_upsert`` is a full outer join on the key. On plain Parquet the result goes to a new table version, never over
-the one being read.
+``merge_upsert`` is a full outer join on the key, for frames and small tables. Warehouse facts are merged by the same rules
+(``FACTS``) into snapshot tables, of which only the touched partitions are read and written (``jobs.load_fact``).
 """
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 from collections.abc import Callable, Sequence
 
@@ -56,23 +57,47 @@ def merge_insert_only(target: DataFrame, source: DataFrame, key: str,
     return target.unionByName(new.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields]))
 
 
+@dataclasses.dataclass(frozen=True)
+class Rule:
+    """How a fact is loaded: the source's latest row of each key updates some columns when the status changes."""
+    key: str
+    order: str
+    update: tuple[str, ...] = ()
+    status: str = ""
+
+    def decided(self, source: DataFrame) -> DataFrame:
+        """One row a key: the latest; of equally late ones that of the greatest event id, then row hash."""
+        ties = [c for c in ("event_id",) if c in source.columns and c != self.key]
+        hashed = source.withColumn("_hash", F.xxhash64(*source.columns))
+        return deduplicate(hashed, [self.key], self.order, [*ties, "_hash"]).drop("_hash")
+
+    def changed(self, src: Callable[[str], Column], tgt: Callable[[str], Column]) -> Column:
+        return src(self.status) != tgt(self.status)
+
+
+FACTS = {"fact_orders": Rule("order_id", "order_timestamp", ("order_status", "order_total"), "order_status"),
+         "fact_payments": Rule("payment_id", "payment_timestamp", ("payment_status", "failure_reason"), "payment_status"),
+         "fact_clickstream": Rule("event_id", "view_timestamp")}
+
+
+def _merge_fact(name: str, target: DataFrame, source: DataFrame, run_ts: dt.datetime) -> DataFrame:
+    rule, now = FACTS[name], {"loaded_at": F.lit(run_ts)}
+    source = rule.decided(source)
+    if not rule.update:
+        return merge_insert_only(target, source, rule.key, now)
+    return merge_upsert(target, source, rule.key, rule.update, rule.changed, now, now)
+
+
 def merge_fact_orders(target: DataFrame, source: DataFrame, run_ts: dt.datetime) -> DataFrame:
-    now = {"loaded_at": F.lit(run_ts)}
-    source = deduplicate(source, ["order_id"], "order_timestamp", ["event_id"])
-    return merge_upsert(target, source, "order_id", ["order_status", "order_total"],
-                        lambda s, t: s("order_status") != t("order_status"), now, now)
+    return _merge_fact("fact_orders", target, source, run_ts)
 
 
 def merge_fact_payments(target: DataFrame, source: DataFrame, run_ts: dt.datetime) -> DataFrame:
-    now = {"loaded_at": F.lit(run_ts)}
-    source = deduplicate(source, ["payment_id"], "payment_timestamp")
-    return merge_upsert(target, source, "payment_id", ["payment_status", "failure_reason"],
-                        lambda s, t: s("payment_status") != t("payment_status"), now, now)
+    return _merge_fact("fact_payments", target, source, run_ts)
 
 
 def merge_fact_clickstream(target: DataFrame, source: DataFrame, run_ts: dt.datetime) -> DataFrame:
-    source = deduplicate(source, ["event_id"], "view_timestamp")
-    return merge_insert_only(target, source, "event_id", {"loaded_at": F.lit(run_ts)})
+    return _merge_fact("fact_clickstream", target, source, run_ts)
 
 
 def preferred_category(fact_orders: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Reading and writing the lake zones: bronze NDJSON, silver and gold Parquet, catalog tables, versioned tables."""
+"""Reading and writing the lake zones: bronze NDJSON, silver and gold snapshot tables, catalog tables."""
 
 from __future__ import annotations
 
@@ -7,11 +7,12 @@ import os
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.functions.schemas import BRONZE, struct_of
 from tillstream.operators.rows import Days, on_day
+from tillstream.sources import snapshots
 
 DAY = ["year", "month", "day"]
 # arrival-time folders; their names must differ from the event-time columns of the records
@@ -60,81 +61,58 @@ def write_bronze(df: DataFrame, root: str, entity: str, batch_id: int, run_id: s
      .json(os.path.join(root, "bronze", entity)))
 
 
-def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str], rows_per_file: int = 500_000,
-                      sort_cols: Sequence[str] = ()) -> None:
-    """Parquet by partition, replacing exactly the partitions written, so that a rerun of a day changes nothing.
+def as_day(year: int | None, month: int | None, day: int | None) -> dt.date | None:
+    return None if year is None else dt.date(year, month, day)
 
-    The REBALANCE hint lets Spark split a partition value that holds much of the data over several tasks and put small
-    ones together, which a plain repartition by these columns cannot.
-    """
-    out = df.hint("rebalance", *[F.col(c) for c in partition_cols]) if partition_cols else df.hint("rebalance")
-    if sort_cols:
-        out = out.sortWithinPartitions(*partition_cols, *sort_cols)
-    writer = (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .option("compression", "snappy").option("maxRecordsPerFile", rows_per_file))
-    (writer.partitionBy(*partition_cols) if partition_cols else writer).parquet(path)
 
+def _part(day: dt.date | None, cols: Sequence[str]) -> str:
+    return snapshots.part_name({c: None if day is None else getattr(day, c) for c in cols})
 
-def as_day(year: int | None, month: int | None, day: int | None) -> dt.date | None:
-    return None if year is None else dt.date(year, month, day)
 
+def _parts(days: Days, cols: Sequence[str]) -> set[str] | None:
+    if days is None or not cols:
+        return None
+    return {_part(d, cols) for d in ({days} if isinstance(days, dt.date) else days)}
 
-def _parts(day: dt.date | None, cols: Sequence[str]) -> str:
-    return "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if day is None else getattr(day, c)}" for c in cols)
+
+def day_of(part: str) -> dt.date | None:
+    """The day, or the first of the month, a partition stands for."""
+    v = snapshots.part_values(part)
+    return None if v.get("year") is None else dt.date(int(v["year"]), int(v["month"]), int(v.get("day", 1)))
 
 
 def replace_days(df: DataFrame, path: str, days: Days, partition_cols: Sequence[str] = tuple(DAY),
-                 sort_cols: Sequence[str] = ()) -> set[dt.date | None]:
-    """Write a frame that holds all rows of ``days``, and delete those of these days that it has no row of, which a dynamic
-    overwrite leaves. ``None`` for all days. Returns the days written; Spark observes them during the write."""
-    seen = Observation()
-    at = F.struct(*[F.col(c) if c in partition_cols else F.lit(1).alias(c) for c in DAY])
-    write_partitioned(df.observe(seen, F.collect_set(at).alias("days")), path, partition_cols, sort_cols=sort_cols)
-    written = {as_day(*d) for d in seen.get["days"]}
-    if days is None:
-        stale = {p for p in partition_days(df.sparkSession, path, partition_cols) if p not in written}
-    else:
-        wanted = {days} if isinstance(days, dt.date) else set(days)
-        stale = {d if d is None or "day" in partition_cols else d.replace(day=1) for d in wanted} - written
-    for day in stale:
-        _delete(df.sparkSession, f"{path}/{_parts(day, partition_cols)}")
-    return written
-
-
-def partition_days(spark: SparkSession, path: str, partition_cols: Sequence[str] = tuple(DAY)) -> list[dt.date | None]:
-    """The days (or months) a table has folders of, from its partitions alone."""
-    at = [F.col(c) if c in partition_cols else F.lit(1) for c in DAY]
-    try:
-        return [as_day(*r) for r in spark.read.parquet(path).select(*at).distinct().collect()]
-    except AnalysisException as error:
-        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a table without a row
-            return []
-        raise
+                 sort_cols: Sequence[str] = (), **options) -> set[dt.date | None]:
+    """Commit a frame that holds all rows of ``days`` (``None``: of all days) as a new version of a table; days without a row
+    go. The old version is read until then, and if the run dies. Returns the days written."""
+    s = snapshots.replace(df.sparkSession, path, df, partition_cols, _parts(days, partition_cols), sort_cols, **options)
+    return {day_of(p) for p in s.changed if p in s.parts}
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+def partition_days(spark: SparkSession, path: str) -> list[dt.date | None]:
+    """The days (or months) a table has rows of, from its manifest."""
+    return [day_of(p) for p in snapshots.load(spark, path).parts]
 
 
-def write_silver(df: DataFrame, root: str, entity: str, days: Days = None) -> set[dt.date | None]:
-    """Replace these days (``None``: all) of a silver table by a frame; returns the days it has rows of."""
-    return replace_days(df, os.path.join(root, "silver", entity), days)
+def write_silver(df: DataFrame, root: str, entity: str, days: Days = None, key: str | None = None,
+                 placed: DataFrame | None = None) -> set[dt.date | None]:
+    """Replace these days (``None``: all) of a silver table by a frame; returns the days it has rows of. With ``key``, an
+    index of that column says on which day a record lies; ``placed`` holds the keys that may have moved."""
+    return replace_days(df, os.path.join(root, "silver", entity), days, index=key, placed=placed)
 
 
 def read_silver(spark: SparkSession, root: str, entity: str, day: Days = None) -> DataFrame:
-    """A silver table, all of it or some days; the predicate on the partition columns prunes folders."""
-    return on_day(spark.read.parquet(os.path.join(root, "silver", entity)), day)
+    """A silver table, all of it or some days, of which only the folders are listed."""
+    return on_day(snapshots.read(spark, os.path.join(root, "silver", entity), _parts(day, DAY)), day)
 
 
-def known_silver(spark: SparkSession, root: str, entity: str) -> DataFrame | None:
-    """A silver table, or nothing before its first load."""
-    try:
-        return read_silver(spark, root, entity)
-    except AnalysisException as error:
-        if _missing_path(error):
-            return None
-        raise
+def known_days(spark: SparkSession, root: str, entity: str, keys: DataFrame, key: str) -> set[dt.date | None] | None:
+    """The days of silver that hold any of these keys, from the index; nothing before the first load."""
+    path = os.path.join(root, "silver", entity)
+    s = snapshots.load(spark, path)
+    if not s.index:
+        return None
+    return {day_of(r[0]) for r in snapshots.homes(spark, path, keys, key, s).select("home").distinct().collect()}  # a row a day
 
 
 # clustering columns of the warehouse facts: row groups then skip on them
@@ -142,21 +120,24 @@ GOLD_SORT = {"fact_orders": ["country", "order_status"], "fact_payments": ["paym
              "fact_clickstream": ["page_type", "country"]}
 
 
+# facts log what a run changed, under these keys, for the consumers downstream
+GOLD_KEYS = {"fact_orders": "order_id", "fact_payments": "payment_id", "fact_clickstream": "event_id"}
+
+
 def write_gold(df: DataFrame, root: str, name: str, partition_cols: Sequence[str] = (), days: Days = None) -> None:
     """A gold table in full, or the given days of one that is partitioned by date."""
-    path, order = os.path.join(root, "gold", name), GOLD_SORT.get(name, ())
-    if partition_cols:
-        replace_days(df, path, days, partition_cols, order)
-    else:
-        write_partitioned(df, path, partition_cols, sort_cols=order)
+    replace_days(df, os.path.join(root, "gold", name), days if partition_cols else None, partition_cols, GOLD_SORT.get(name, ()),
+                 key=GOLD_KEYS.get(name), but=["gold_processed_at"])
 
 
-def read_gold(spark: SparkSession, root: str, name: str, day: dt.date | None = None) -> DataFrame:
-    return on_day(spark.read.parquet(os.path.join(root, "gold", name)), day)
+def read_gold(spark: SparkSession, root: str, name: str, day: Days = None) -> DataFrame:
+    path = os.path.join(root, "gold", name)
+    s = snapshots.load(spark, path)
+    return on_day(snapshots.read(spark, path, _parts(day, s.columns), s), day)
 
 
 def register(spark: SparkSession, table: str, path: str, layout: str, partition_cols: Sequence[str] = ()) -> None:
-    """Make a Parquet folder a catalog table, or refresh its partitions."""
+    """Make a plain Parquet folder a catalog table, or look for its partitions; ``snapshots.publish`` is for snapshot tables."""
     if not spark.catalog.tableExists(table):
         parts = f"PARTITIONED BY ({', '.join(partition_cols)})" if partition_cols else ""
         spark.sql(f"CREATE TABLE {table} ({layout}) USING parquet {parts} LOCATION '{path}'")
@@ -186,28 +167,20 @@ def expire(spark: SparkSession, path: str, column: str, before: dt.date) -> list
     return old
 
 
-# ---- versioned tables for upserts ----------------------------------------------------------
-
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Versions that were written completely."""
+def vacuum(spark: SparkSession, root: str, keep: int = 10, grace_seconds: float = 86_400) -> int:
+    """Drop old versions, and folders that no kept version names, of all tables of the lake; returns how many folders went."""
     jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(root)]
-    return sorted(int(n[2:]) for n in names if n.startswith("v=")
-                  and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS")))
+    at = jvm.org.apache.hadoop.fs.Path(root)
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/*/*/manifests"))
+    return sum(len(snapshots.expire(spark, str(f.getPath().getParent()), keep, grace_seconds)) for f in found or ())
 
 
 def read_version(spark: SparkSession, path: str, layout: str) -> DataFrame:
-    """The newest complete version of a table, or an empty frame."""
-    found = _versions(spark, path)
-    return spark.read.schema(layout).parquet(f"{path}/v={found[-1]}") if found else empty(spark, layout)
+    """The newest version of a table, or an empty frame."""
+    s = snapshots.load(spark, path)
+    return snapshots.read(spark, path, None, s) if s.version else empty(spark, layout)
 
 
 def write_version(spark: SparkSession, df: DataFrame, path: str) -> int:
-    """Write the next version beside the one being read. Readers see it once its _SUCCESS marker is there."""
-    n = (_versions(spark, path) or [0])[-1] + 1
-    df.write.mode("overwrite").parquet(f"{path}/v={n}")
-    return n
+    """Commit a frame as the next version of a whole table."""
+    return snapshots.replace(spark, path, df).version

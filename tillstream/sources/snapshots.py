@@ -49,7 +49,7 @@ class Snapshot:
     index: tuple[str, ...] = ()
     changed: tuple[str, ...] = ()  # partitions that this version wrote or dropped
     log: str | None = None
-    whole: bool = False  # every row of commit ``log`` is new; it has no log of its own
+    whole: bool = False  # all that commit ``log`` wrote is new; it has no log of its own
     marks: dict = dataclasses.field(default_factory=dict)
 
     @property
@@ -151,21 +151,22 @@ def part_of(columns: Sequence[str]) -> Column:
     return F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NO_VALUE))) for c in columns])
 
 
-def _folders(spark: SparkSession, path: str, kind: str, names: Sequence[str], schema: T.StructType) -> DataFrame:
+def _folders(spark: SparkSession, path: str, kind: str, names: Sequence[str], schema: T.StructType, **options: str) -> DataFrame:
     if not names:
         return spark.createDataFrame([], schema)
     base = f"{path}/{kind}"
-    found = spark.read.schema(T.StructType([*schema.fields, T.StructField("commit", T.StringType())]))
+    found = spark.read.options(**options).schema(T.StructType([*schema.fields, T.StructField("commit", T.StringType())]))
     return found.option("basePath", base).parquet(*[f"{base}/{n}" for n in names]).select(*schema.names)
 
 
-def read(spark: SparkSession, path: str, parts: Collection[str] | None = None, snapshot: Snapshot | None = None) -> DataFrame:
+def read(spark: SparkSession, path: str, parts: Collection[str] | None = None, snapshot: Snapshot | None = None,
+         **options: str) -> DataFrame:
     """A version of a table, or some partitions of it: only their folders are listed and opened."""
     s = snapshot or load(spark, path)
     if s.schema is None:
         raise FileNotFoundError(f"{path} has no version")
     names = [f"commit={c}/{p}".rstrip("/") for p, commits in sorted(s.parts.items()) if parts is None or p in parts for c in commits]
-    return _folders(spark, path, "data", names, s.struct)
+    return _folders(spark, path, "data", names, s.struct, **options)
 
 
 def changes(spark: SparkSession, path: str, after: int, upto: int | None = None) -> DataFrame:
@@ -182,7 +183,7 @@ def changes(spark: SparkSession, path: str, after: int, upto: int | None = None)
     layout = T.StructType([T.StructField("change", T.StringType()), T.StructField("snapshot", T.LongType()), *s.struct.fields])
     out = _folders(spark, path, "log", [f"commit={n.log}" for n in news if n.log and not n.whole], layout)
     for n in (n for n in news if n.whole):
-        names = [f"commit={c}/{p}".rstrip("/") for p, commits in sorted(n.parts.items()) for c in commits]
+        names = [f"commit={n.log}/{p}".rstrip("/") for p, commits in sorted(n.parts.items()) if n.log in commits]
         rows = _folders(spark, path, "data", names, n.struct)
         out = out.unionByName(rows.select(F.lit("insert").alias("change"), F.lit(n.version).cast("long").alias("snapshot"), "*"),
                               allowMissingColumns=True)
@@ -257,7 +258,7 @@ def feed_between(old: DataFrame, new: DataFrame, key: str, but: Collection[str]
             .when(~F.col("_os").eqNullSafe(F.col("_ns")), "update"))
     both = o.join(n, F.col("_ok") == F.col("_nk"), "full_outer").withColumn("change", kind).where("change is not null")
     return both.select("change", *[
-        F.coalesce(F.col(f"_n.{c}"), F.when(F.col("_n").isNull(), F.col(f"_o.{c}"))) .alias(c) if c in old.columns
+        F.coalesce(F.col(f"_n.{c}"), F.when(F.col("_n").isNull(), F.col(f"_o.{c}"))).alias(c) if c in old.columns
         else F.col(f"_n.{c}").alias(c) for c in new.columns])
 
 
@@ -296,6 +297,40 @@ def replace(spark: SparkSession, path: str, df: DataFrame, columns: Sequence[str
     return commit(spark, path, new)
 
 
+def append(spark: SparkSession, path: str, df: DataFrame, columns: Sequence[str], source: str, batch: int) -> Snapshot:
+    """Commit the rows of a source's batch beside those that are there, once: the last batch of each source is a mark, so a
+    batch that is replayed, whatever it holds now, changes nothing."""
+    s, name, columns = load(spark, path), f"c{uuid.uuid4().hex}", tuple(columns)
+    if s.marks.get(source, -1) >= batch:
+        return s
+    _write(df, f"{path}/data/commit={name}", columns)
+    now = _written_parts(spark, path, name, columns)
+    merged = [p for p in now if len(s.parts.get(p, ())) >= MOST_FOLDERS]
+    after = s.parts | {p: [*s.parts.get(p, ()), name] for p in now}
+    if merged:  # small folders of earlier batches are put together; the log still names this batch's own
+        _write(read(spark, path, merged, s), f"{path}/data/commit={name}m", columns)
+        after |= {p: [f"{name}m", name] for p in merged}
+    return commit(spark, path, dataclasses.replace(
+        s, version=s.version + 1, schema=df.schema.json(), columns=columns, parts=after, changed=tuple(now), log=name, whole=True,
+        marks=s.marks | {source: batch}))
+
+
+def fed(spark: SparkSession, path: str, max_versions: int | None = None) -> DataFrame:
+    """The versions of a table as a stream: (version), one row for each commit. A consumer reads ``changes`` between the
+    least and the greatest version of a batch, so what a commit writes again of older rows is not read again."""
+    reader = spark.readStream
+    if max_versions:
+        reader = reader.option("maxFilesPerTrigger", max_versions)
+    found = reader.option("wholetext", True).option("pathGlobFilter", "*.json").text(f"{path}/manifests")
+    return found.select(F.get_json_object("value", "$.version").cast("long").alias("version"))
+
+
+def span(batch: DataFrame) -> tuple[int, int] | None:
+    """First and last version of a batch of ``fed``."""
+    first, last = batch.agg(F.min("version"), F.max("version")).first()
+    return None if first is None else (first, last)
+
+
 Side = Callable[[str], Column]
 
 
@@ -306,13 +341,11 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, key: str, columns:
 
     Matched rows take the ``update`` columns from the source where ``when(src, tgt)`` holds, the rest is inserted; ``on_update`` and
     ``on_insert`` set columns to fixed values. The index says where keys live, so only partitions that hold keys of the source
-    are read, and only those in which a row changes are rewritten; inserted rows are added as folders beside the old ones.
-    A row stays in its partition: the partition columns cannot be updated.
+    are read, and only those in which a row changes are rewritten; inserted rows, and rows that move as a partition column
+    is updated, are added as folders beside the old ones.
     """
     s, name = load(spark, path), f"c{uuid.uuid4().hex}"
     version, columns, on_update, on_insert = s.version + 1, tuple(columns), on_update or {}, on_insert or {}
-    if set(columns) & {*update, *on_update}:
-        raise ValueError("partition columns cannot be updated")
     schema, work = source.schema, f"{path}/work/commit={name}"
     source.write.parquet(f"{work}/source")
     staged = spark.read.schema(schema).parquet(f"{work}/source")
@@ -321,23 +354,24 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, key: str, columns:
     located = spark.read.schema(located.schema).parquet(f"{work}/located")
 
     names = schema.names
-    log = located.where("home is null").select(F.lit("insert").alias("change"), *[
+    log = located.where("home is null").select(F.lit("insert").alias("change"), "home", *[
         on_insert[c].cast(schema[c].dataType).alias(c) if c in on_insert else F.col(c) for c in names])
     if update:
         here = [r[0] for r in located.where("home is not null").select("home").distinct().collect()]  # a row a partition
         t = read(spark, path, here, s).select(F.struct(*names).alias("t"), F.col(key).alias("_k")) if here else None
         if t is not None:
-            both = t.join(located.where("home is not null").select(F.struct(*names).alias("s"), F.col(key).alias("_sk")), F.col("_k") == F.col("_sk"))
+            news = located.where("home is not null").select(F.struct(*names).alias("s"), F.col(key).alias("_sk"), "home")
+            both = t.join(news, F.col("_k") == F.col("_sk"))
             if when is not None:
                 both = both.where(F.coalesce(when(lambda c: F.col(f"s.{c}"), lambda c: F.col(f"t.{c}")), F.lit(False)))
             fixed = {c: on_update[c].cast(schema[c].dataType) for c in on_update}
-            log = log.unionByName(both.select(F.lit("update").alias("change"), *[
+            log = log.unionByName(both.select(F.lit("update").alias("change"), "home", *[
                 fixed.get(c, F.col(f"s.{c}" if c in update else f"t.{c}")).alias(c) for c in names]))
     _write(log.withColumn("snapshot", F.lit(version).cast("long")), f"{path}/log/commit={name}", ())
     log = spark.read.schema(T.StructType([*log.schema.fields])).parquet(f"{path}/log/commit={name}")
 
-    touched = log.groupBy("change", part_of(columns).alias("part")).agg(F.count(F.lit(1))).collect()  # two rows a partition
-    updated = {r.part for r in touched if r.change == "update"}
+    touched = log.select("home", part_of(columns).alias("part")).distinct().collect()  # as many as partitions, and moves between them
+    updated = {r.home for r in touched if r.home is not None}
     added = {r.part for r in touched} - updated
     rewritten = updated | {p for p in added if len(s.parts.get(p, ())) >= MOST_FOLDERS}
     new = dataclasses.replace(s, version=version, schema=schema.json(), columns=columns, marks=s.marks | (marks or {}), changed=(), log=None,
@@ -349,9 +383,12 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, key: str, columns:
             rows = rows.unionByName(old.join(log.where("change = 'update'").select(key), key, "left_anti").select(*names))
         _write(rows, f"{path}/data/commit={name}", columns, sort_cols)
         now = _written_parts(spark, path, name, columns)
-        after = s.parts | {p: [name] if p in rewritten else [*s.parts.get(p, ()), name] for p in now}
-        inserted = log.where("change = 'insert'").select(F.col(key).cast("string").alias("k"), part_of(columns).alias("home"))
-        new = dataclasses.replace(new, parts=after, changed=tuple(now), log=name, index=_new_index(spark, path, name, s, version, inserted, True))
+        after = {p: c for p, c in s.parts.items() if p not in rewritten}
+        after |= {p: [*after.get(p, ()), name] for p in now}
+        placed = log.select(F.col(key).cast("string").alias("k"), "home", part_of(columns).alias("part"))
+        placed = placed.where("home is null or home <> part").select("k", F.col("part").alias("home"))
+        new = dataclasses.replace(new, parts=after, changed=tuple(sorted({*now, *rewritten})), log=name,
+                                  index=_new_index(spark, path, name, s, version, placed, True))
     done = commit(spark, path, new)
     _delete(spark, work)
     return done

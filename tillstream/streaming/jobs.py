@@ -1,8 +1,9 @@
 """Structured Streaming around the batch functions of ``ingest``.
 
 Each micro-batch writes, in this order: bronze records, dead letters, summary and alerts, and last the dedup keys. All
-outputs carry the run id and the batch id as partitions. A replayed batch overwrites its own partitions and ignores its
-own keys, so a failure at any point is repaired by the replay. The run id lives in the checkpoint: a stream that starts
+outputs carry the run id and the batch id, all but the dead letters as partitions. A replayed batch overwrites its own
+partitions and ignores its own keys, so a failure at any point is repaired by the replay; dead letters, which other streams
+read, are committed once a batch. The run id lives in the checkpoint: a stream that starts
 with a new checkpoint, or a second one on the same root, numbers its batches anew without touching older output.
 """
 
@@ -17,8 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillstream.functions.schemas import ALERTS, DEAD_LETTER
-from tillstream.sources import lake
+from tillstream.sources import lake, snapshots
 from tillstream.streaming import ingest
 
 KEYS = "key string, seen_at timestamp, run_id string, batch_id long, seen_date date"
@@ -86,7 +86,8 @@ def process_batch(batch: DataFrame, batch_id: int, entity: str, root: str, envir
         def land(df: DataFrame, folder: str, *partition_cols: str) -> None:
             _append_batch(df, os.path.join(root, folder), run_id, batch_id, *partition_cols)
 
-        land(out.failed.withColumn("failed_date", F.to_date("failed_at")), f"dlq/{entity}", "failed_date")
+        letters = out.failed.withColumns({"failed_date": F.to_date("failed_at"), "run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("long")})
+        snapshots.append(spark, letters_path(root, entity), letters, ["failed_date"], run_id, batch_id)
         summary = ingest.batch_summary(out, entity, batch_id)
         land(summary, f"summaries/{entity}")
         land(ingest.failure_alerts(summary, span["last"]), f"alerts/{entity}")
@@ -110,9 +111,17 @@ def start_ingest(stream: DataFrame, entity: str, root: str, checkpoint: str, env
 
 
 def start_redrive(spark: SparkSession, root: str, entity: str, checkpoint: str, environment: str = "prod") -> StreamingQuery:
-    """Feed the recoverable dead letters that triage set aside through the consumer again, each once."""
-    letters = payload_stream(spark, os.path.join(root, "redrive", entity)).select("data", "arrival_ts")
-    return start_ingest(letters, entity, root, checkpoint, environment)
+    """Feed the recoverable dead letters that triage set aside through the consumer again, each once: the stream is fed by the
+    commits of triage, and a batch of triage that is replayed commits nothing."""
+    run_id, path = run_id_of(spark, checkpoint), redrive_path(root, entity)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        if (between := snapshots.span(batch)) is not None:
+            letters = snapshots.changes(spark, path, between[0] - 1, between[1]).select("data", "arrival_ts")
+            process_batch(letters, batch_id, entity, root, environment, run_id)
+
+    return (snapshots.fed(spark, path).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
 
 
 def payload_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -126,31 +135,36 @@ def dedup_stream(records: DataFrame, key: str, arrival: str = "arrival_ts", ttl:
     return records.withWatermark(arrival, ttl).dropDuplicatesWithinWatermark([key])
 
 
-def dead_letter_stream(spark: SparkSession, root: str, entity: str) -> DataFrame:
-    layout = DEAD_LETTER.replace(", batch_id long", "") + ", failed_date date, run_id string, batch_id long"
-    return spark.readStream.schema(layout).parquet(os.path.join(root, "dlq", entity))
+def letters_path(root: str, entity: str) -> str:
+    return os.path.join(root, "dlq", entity)
+
+
+def redrive_path(root: str, entity: str) -> str:
+    return os.path.join(root, "redrive", entity)
+
+
+def read_letters(spark: SparkSession, root: str, entity: str) -> DataFrame:
+    """All dead letters of a consumer."""
+    return snapshots.read(spark, letters_path(root, entity))
 
 
 def start_triage(spark: SparkSession, root: str, entity: str, checkpoint: str) -> StreamingQuery:
     """Classify new dead letters: counts per disposition, alerts for permanent failures, recoverable ones for re-drive."""
-    run_id = run_id_of(spark, checkpoint)
-
-    def handle(df: DataFrame, batch_id: int) -> None:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            def land(out: DataFrame, folder: str) -> None:
-                _append_batch(out, os.path.join(root, folder, entity), run_id, batch_id)
-
-            land(ingest.triage_counts(df), "triage")
-            alerts = ingest.triage_alerts(df, dt.datetime(1970, 1, 1)).withColumn("raised_at", F.current_timestamp())
-            land(alerts, "triage_alerts")
-            land(ingest.redrive(df, entity), "redrive")
-        finally:
-            df.unpersist()
-
-    return (dead_letter_stream(spark, root, entity).writeStream.foreachBatch(handle)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    run_id, path = run_id_of(spark, checkpoint), letters_path(root, entity)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        between = snapshots.span(batch)
+        if between is None:
+            return
+        df = snapshots.changes(spark, path, between[0] - 1, between[1])
 
+        def land(out: DataFrame, folder: str) -> None:
+            _append_batch(out, os.path.join(root, folder, entity), run_id, batch_id)
 
-def read_alerts(spark: SparkSession, root: str, entity: str) -> DataFrame:
-    return spark.read.schema(ALERTS + ", run_id string, batch_id long").parquet(os.path.join(root, "alerts", entity))
+        land(ingest.triage_counts(df), "triage")
+        alerts = ingest.triage_alerts(df, dt.datetime(1970, 1, 1)).withColumn("raised_at", F.current_timestamp())
+        land(alerts, "triage_alerts")
+        snapshots.append(spark, redrive_path(root, entity), ingest.redrive(df, entity), [], run_id, batch_id)
+
+    return (snapshots.fed(spark, path).writeStream.foreachBatch(handle)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
