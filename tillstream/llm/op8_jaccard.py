@@ -5,9 +5,15 @@ The result is the connected components of "Jaccard similarity of at least ``perc
 Index lists, skipped by block: two similar sets of sizes a <= b differ in at most (a + b)(100 - p)/(100 + p) shingles. A
 set's shingles are dealt by hash to one position block more than that (and SPARE more), so two similar sets agree on
 a whole block. The index is on whole blocks - (size window, block position, hash of the block's shingles) - and everything
-that agrees on no block, which is nearly all that merely shares common shingles, is skipped unseen.
+that agrees on no block, which is most that merely shares common shingles, is skipped unseen. Entries go through one shuffle,
+and those of one set alone end there. Lists of the same sets are one list.
 
-Answers derived from a similar set: sets that share lists form a family. Each member is compared once with the
+Lists are then refined: a set's profile counts its shingles by hash in about half to a quarter as many buckets as it has
+shingles. Two sets differ in at least as many shingles as their profiles do in counts, so pairs whose profiles differ too
+much cannot be similar, and unrelated texts that share a passage, and by it a block, part here. What is left of a list is
+linked up (a tree, not all pairs). Lists of more than BIG sets, which nearly always are copies, are linked up unrefined.
+
+Answers derived from a similar set: sets linked by lists form a family. Each member is compared once with the
 family's pivot, and kept as its difference from it. The pivot's answer follows at once, and the overlap of any two members
 follows from their differences: |x ^ y| = |dx| + |dy| - 2 |dx & dy|. Members that are similar to the pivot are linked
 through it, so they need no comparison among each other. The others are compared in blocks of members ordered by distance
@@ -30,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tillstream.llm import words
 from tillstream.llm.components import components
-from tillstream.llm.scratch import written
+from tillstream.llm.scratch import discard, written
 
 SIZE = 3
 PERCENT = 90
@@ -39,6 +45,7 @@ GROWTH = 1.4  # of the size windows
 BLOCK = 512  # members (or that many times BLOCK_DIFFERENCES differing shingles) that are compared at a time
 BLOCK_DIFFERENCES = 512
 BATCH = 1 << 17
+BIG = 4096  # sets of a list that are compared by profile, in one task
 U64 = np.uint64
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -84,16 +91,95 @@ def signatures(grams: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out) if out else np.empty(0, U64)
 
 
+def profile(grams: np.ndarray) -> bytes:
+    """Counts of the shingles by hash, at most 255, in a power of two of buckets that follows their number."""
+    if not len(grams):
+        return b""
+    buckets = 1 << max(3, len(grams).bit_length() - 2)
+    at = (words.mix(grams ^ U64(0x2545F4914F6CDD1D)) & U64(buckets - 1)).astype(np.int64)
+    return np.minimum(np.bincount(at, minlength=buckets), 255).astype(np.uint8).tobytes()
+
+
+def folded(profiles: list[np.ndarray]) -> np.ndarray:
+    """Profiles as rows of one length, that of the shortest; counts of buckets that fall together are added."""
+    width = min(map(len, profiles))
+    return np.stack([x if len(x) == width else np.minimum(x.reshape(-1, width).sum(0, np.int64), 255) for x in profiles]).astype(np.int16)
+
+
+def tree(n: np.ndarray, profiles: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links, as few as connect what all pairs connect whose profiles do not rule similarity out."""
+    rows, root, out = folded(profiles), np.arange(len(n)), []
+    for i in range(len(n) - 1):
+        other = i + 1 + np.flatnonzero(root[i + 1:] != root[i])
+        if not len(other):
+            continue
+        least = np.abs(rows[other] - rows[i]).sum(1, np.int64)
+        for j in other[similar(n[i], n[other], least, percent)].tolist():
+            if root[j] != root[i]:
+                root[root == root[j]] = root[i]
+                out.append((i, j))
+    return out
+
+
+def refined(lists: DataFrame, percent: int) -> DataFrame:
+    """(u, v): links within each list; ``lists`` is (list, k1, n, profile), a list in one partition and together."""
+
+    def links(part: pa.Table) -> tuple[list[int], list[int]]:
+        ids, keys, n = (part.column(c).to_numpy() for c in ("list", "k1", "n"))
+        held = [np.frombuffer(x.as_buffer(), np.uint8) for c in part.column("profile").chunks for x in c]
+        edges = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1], [True])))
+        u, v = [], []
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            for i, j in tree(n[a:b], held[a:b], percent) if b - a > 1 else ():
+                u.append(int(keys[a + i]))
+                v.append(int(keys[a + j]))
+        return u, v
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if rest is None else pa.concat_tables([rest, table])
+            ids = table.column("list").to_numpy()
+            cut = int(np.flatnonzero(ids != ids[-1:]).max(initial=-1)) + 1
+            rest = table.slice(cut).combine_chunks()  # the last list may go on in the next batch
+            if cut:
+                u, v = links(table.slice(0, cut))
+                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+        if rest is not None and len(rest):
+            u, v = links(rest)
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+    return lists.select("list", "k1", "n", "profile").mapInArrow(of, "u long, v long")
+
+
+def candidates(every: DataFrame, percent: int) -> DataFrame:
+    """(u, v): links between sets by k1. Similar sets are linked, directly or not; others may be."""
+    w = Window.partitionBy("entry")
+    entries = every.select("k1", F.explode("entries").alias("entry"))
+    known = entries.withColumns({"lo": F.min("k1").over(w), "hi": F.max("k1").over(w), "m": F.count(F.lit(1)).over(w),
+                                 "all": F.bit_xor(F.xxhash64("k1")).over(w)}).where("lo <> hi")
+    known = written(known.select(F.xxhash64("all", "lo", "hi", "m").alias("list"), "k1", "lo", (F.col("m") > BIG).alias("big"))
+                    .distinct(), "lists")
+    profiles = written(every.where("n > 0").groupBy("k1").agg(F.max("n").alias("n"), F.max("profile").alias("profile")), "profiles")
+    small = known.where("not big").select("list", "k1").join(profiles, "k1")
+    found = refined(small.repartition("list").sortWithinPartitions("list"), percent)
+    links = written(found.unionByName(known.where("big").select(F.col("k1").alias("u"), F.col("lo").alias("v"))).distinct(), "links")
+    discard(known, profiles)
+    return links
+
+
 def sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(doc, version, n, k1, k2, entries): size, 128-bit identity and index entries of every document's set."""
+    """(doc, version, n, k1, k2, profile, entries): size, 128-bit identity, profile and index entries of every document's set."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            begin, held, sizes, keys, entries = 0, 0, [], [], []
+            begin, held, sizes, keys, profiles, entries = 0, 0, [], [], [], []
             for i, t in enumerate(batch.column(2)):
                 grams = shingles(t.as_buffer() if t.is_valid else b"", size)
                 keys.append((words.mix(grams).sum(dtype=U64), words.mix(grams ^ U64(0x9E3779B97F4A7C15)).sum(dtype=U64)))
                 sizes.append(len(grams))
+                profiles.append(profile(grams))
                 entries.append(signatures(grams, percent))
                 held += len(entries[-1])
                 if held > BATCH or i == len(batch) - 1:
@@ -102,13 +188,13 @@ def sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).slice(begin, len(sizes)), batch.column(1).slice(begin, len(sizes)),
                          pa.array(sizes, pa.int64()), pa.array(k[:, 0].view(np.int64)), pa.array(k[:, 1].view(np.int64)),
-                         pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(entries).view(np.int64)))],
-                        names=["doc", "version", "n", "k1", "k2", "entries"])
-                    begin, held, sizes, keys, entries = i + 1, 0, [], [], []
+                         pa.array(profiles, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(entries).view(np.int64)))],
+                        names=["doc", "version", "n", "k1", "k2", "profile", "entries"])
+                    begin, held, sizes, keys, profiles, entries = i + 1, 0, [], [], [], []
 
     kind = docs.schema["doc"].dataType.simpleString()
     return docs.select("doc", "version", "text").mapInArrow(
-        of, f"doc {kind}, version long, n long, k1 long, k2 long, entries array<long>")
+        of, f"doc {kind}, version long, n long, k1 long, k2 long, profile binary, entries array<long>")
 
 
 def numbered(docs: DataFrame, id_col: str, text: Column) -> DataFrame:
@@ -247,44 +333,57 @@ def family_links(diffs: DataFrame, percent: int) -> DataFrame:
     return star.unionByName(found)
 
 
-def joined(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """(doc, n_shingles, component_id) for every row of ``docs``, which is (doc, version, text) as ``numbered`` makes it."""
+def rooted(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """(doc, version, n, root) for every row of ``docs``, which is (doc, version, text) as ``numbered`` makes it. ``root`` is the
+    least (doc, version) that is linked, directly or not; a set without shingles has none."""
     every = written(sets(docs, size, percent), "sets")
     rep = F.struct("doc", "version")
     classes = written(every.where("n > 0").groupBy("k1", "k2").agg(F.min(rep).alias("rep"), F.count(F.lit(1)).alias("copies")),
                       "classes")
 
-    entries = every.select("k1", F.explode("entries").alias("entry"))
-    lists = written(entries.groupBy("entry").agg(F.min("k1").alias("v"), F.max("k1").alias("w")).where("v <> w")
-                    .select("entry", "v"), "lists")
-    families = components(entries.join(lists, "entry").select(F.col("k1").alias("u"), "v"))
-    families = families.select(F.col("u").alias("k1"), F.col("v").alias("family")).unionByName(
-        families.select(F.col("v").alias("k1"), F.col("v").alias("family")).distinct())
+    links = candidates(every, percent)
+    near = components(links)
+    families = near.select(F.col("u").alias("k1"), F.col("v").alias("family")).unionByName(
+        near.select(F.col("v").alias("k1"), F.col("v").alias("family")).distinct())
 
     members = written(classes.join(families, "k1"), "members")
+    discard(links, near)
     pivots = members.groupBy("family").agg(F.min_by("rep", F.struct(-F.col("copies"), F.col("rep"))).alias("pivot"))
-    chosen = members.join(written(pivots, "pivots"), "family").select("family", "rep", "pivot")
+    pivots = written(pivots, "pivots")
+    chosen = members.join(pivots, "family").select("family", "rep", "pivot")
     texts = written(docs.join(chosen, docs["doc"].eqNullSafe(chosen["rep.doc"]) & (docs["version"] == chosen["rep.version"]))
                     .groupBy("family", "rep", "pivot").agg(F.min("text").alias("text")), "texts")
     pivot_texts = written(texts.where("rep = pivot").select("family", F.col("text").alias("pivot_text")), "pivot_texts")
     diffs = differences(texts.join(pivot_texts, "family"), size)
-    diffs = written(diffs.join(texts.select("rep", "pivot"), "rep"), "diffs")
-    roots = components(family_links(diffs, percent)).select(F.col("u").alias("rep"), F.col("v").alias("root"))
+    diffs = written(diffs.join(members.join(pivots, "family").select("rep", "pivot"), "rep"), "diffs")
+    discard(texts, pivot_texts, members, pivots)
+    same = components(family_links(diffs, percent))
+    roots = same.select(F.col("u").alias("rep"), F.col("v").alias("root"))
 
-    found = (classes.join(roots, "rep", "left")
-             .select("k1", "k2", F.coalesce("root", "rep").alias("root")))
+    found = classes.join(roots, "rep", "left").select("k1", "k2", F.coalesce("root", "rep").alias("root"))
     found = written(found, "roots")
-    return every.join(found, ["k1", "k2"], "left").select(
-        "doc", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("root.doc")).otherwise(F.col("doc")).alias("component_id"))
+    discard(classes, diffs, same)
+    return every.join(found, ["k1", "k2"], "left").select("doc", "version", "n", "root")
+
+
+def joined(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """(doc, n_shingles, component_id) for every row of ``docs``, which is (doc, version, text) as ``numbered`` makes it."""
+    return rooted(docs, size, percent).select(
+        "doc", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("root.doc")).otherwise(F.col("doc")).alias("component_id"))
 
 
 def one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
              percent: int = PERCENT) -> DataFrame:
-    """The documents without those that are linked, directly or not, with a smaller id. Documents without shingles stay,
-    and so do rows that share the smallest id of their component."""
+    """One row of each group of linked texts: that of the least id, and under one id of the least crc32 of its text. Decided
+    for each text, so another text under the same id stays. Of rows of equal id and text one stays, chosen by a hash of its
+    columns; all rows without shingles stay. A null id is the smallest."""
     own = numbered(docs, id_col, F.col(text_col))
-    found = joined(own, size, percent).groupBy("doc").agg(F.min("component_id").alias("__least"))
-    found = found.withColumnRenamed("doc", "__doc")
-    kept = docs.join(found, docs[id_col].eqNullSafe(F.col("__doc")))
-    return kept.where(F.col("__least").eqNullSafe(F.col(id_col))).select(*docs.columns)
+    found = rooted(own, size, percent).select(F.col("doc").alias("__doc"), F.col("version").alias("__version"), "n", "root").distinct()
+    least = F.col("root.doc").eqNullSafe(F.col("__doc")) & (F.col("root.version") == F.col("__version"))
+    found = found.where((F.col("n") == 0) | least).select("__doc", "__version", (F.col("n") == 0).alias("__empty"))
+    marked = docs.withColumn("__of", F.coalesce(F.crc32(F.col(text_col).cast("binary")), F.lit(0)))
+    kept = marked.join(found, marked[id_col].eqNullSafe(F.col("__doc")) & (F.col("__of") == F.col("__version")))
+    order = [F.xxhash64(*[c for c, t in docs.dtypes if not t.startswith("map")])]
+    first = F.row_number().over(Window.partitionBy(id_col, "__of").orderBy(*order))
+    single = kept.where("not __empty").withColumn("__first", first).where("__first = 1")
+    return single.select(*docs.columns).unionByName(kept.where("__empty").select(*docs.columns))
