@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+import time
 import zlib
 
 import public_tokenizers
@@ -352,3 +353,52 @@ def test_pipeline(spark, folder):
     assert last.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert 0.7 * docs.count() < len(kept) < docs.count()
     assert isinstance(docs.schema["doc_id"].dataType, T.LongType)
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<p ", "<title>", "<script>", "<!--", "<", "<a href", "</script ", "<script></script ", "<title>x</title ",
+                                   "<a href='x'>", "&amp", "<a href=   ", "<!-- --"])
+def test_hostile_pages_take_linear_time(piece):
+    start = time.process_time()
+    op7_warc.derivatives("r", "u", "d", None, piece * (1_000_000 // len(piece)))
+    assert time.process_time() - start < 3
+
+
+def test_reading_a_page():
+    page = ("<!doctype html><TITLE lang=x>A &lt; B\n C</title ><style>p{}</style><p>one<b>two</b> &amp; 3<br/>four<!-- <a href=q> x -->five"
+            "<a name=x>six</a><A class=y HREF = 'z'>seven</A><script>if (a<b) '</p>'</script >eight<title>second</title><li>nine <x")
+    assert op7_warc.reading(page) == ("A < B\nC\nonetwo & 3\nfour fivesixseven eight\nsecond\nnine", "A < B\n C", 1)
+    assert op7_warc.reading("<title>never closed <p>text") == ("never closed\ntext", None, 0)
+    assert op7_warc.reading("") == ("", None, 0) and op7_warc.reading("a > b") == ("a > b", None, 0)
+
+
+def test_one_row_of_each_group_by_text(spark):
+    far = "wholly different words " + " ".join(f"far{i}" for i in range(60))
+    rows_ = [(2, BASE, "a"), (2, far, "a"), (1, BASE, "b"), (1, BASE, "c"), (None, BASE + " x", "d"), (None, far, "e"), (5, "", "f"), (5, "", "f")]
+    table = spark.createDataFrame(rows_, "doc_id long, text string, version string").repartition(3)
+    kept = op8_jaccard.one_each(table)
+    assert kept.columns == table.columns
+    assert sorted((tuple(r) for r in kept.collect()), key=repr) == sorted([(None, BASE + " x", "d"), (None, far, "e"), (5, "", "f"), (5, "", "f")], key=repr)
+    kept = op8_jaccard.one_each(table.where("doc_id is not null"))
+    assert sorted((r[0], r[1]) for r in kept.collect()) == sorted([(1, BASE), (2, far), (5, ""), (5, "")])
+
+
+def test_profiles_never_rule_out_similar_sets():
+    """Every pair that is similar is linked by the tree of a list that holds it, whatever else the list holds."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    for percent in (80, 90):
+        base = [rng.integers(0, 2 ** 63, n, dtype=np.uint64) for n in (12, 60, 300, 2000)]
+        sets = [np.unique(np.concatenate([b[rng.random(len(b)) > cut], rng.integers(0, 2 ** 63, int(len(b) * cut), dtype=np.uint64)]))
+                for b in base for cut in (0, 0.02, 0.05, 0.1, 0.2, 0.5)]
+        n = np.array([len(x) for x in sets])
+        links = op8_jaccard.tree(n, [np.frombuffer(op8_jaccard.profile(x), np.uint8) for x in sets], percent)
+        root = list(range(len(sets)))
+        for i, j in links:
+            root = [root[i] if r == root[j] else r for r in root]
+        for i in range(len(sets)):
+            for j in range(i):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * both >= percent * (n[i] + n[j] - both):
+                    assert root[i] == root[j]
+        assert len({root[i] for i in range(len(sets))}) >= len(base)

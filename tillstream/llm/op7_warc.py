@@ -6,7 +6,9 @@ the payload digest, so each derivative can be traced. Digests are SHA-1 in base
 ids are made from what they stand for, so a task that runs twice writes the same records.
 
 Defined results: a null or empty body gives an empty conversion; a null URI is left out; equal responses have the
-same ids; bodies of any length are converted whole. Only the columns asked for are read.
+same ids; bodies of any length are converted whole, in time that follows their length. Only the columns asked for are read,
+whatever the others are called. ``responses`` stands in for an archive: the table has no headers and no date, so it gives
+Content-Type and Content-Length as a server would, and one fixed date.
 """
 
 from __future__ import annotations
@@ -23,12 +25,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DATE = "2024-01-01T00:00:00Z"
-SKIPPED = regex.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b.*?(?:</\1\s*>|\Z)", regex.I | regex.S)
-BREAKS = regex.compile(r"</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|article|section|nav|header|footer|title|blockquote|pre)\b[^>]*>", regex.I)
-TAG = regex.compile(r"<[^>]*>|<[^>]*\Z")
+SKIPPED = {n: regex.compile(rf"</{n}\s*>", regex.I) for n in ("script", "style", "template", "noscript")}
+BREAKS = frozenset("p div br li ul ol tr table h1 h2 h3 h4 h5 h6 article section nav header footer title blockquote pre".split())
+NAME = regex.compile(r"/?([a-z][a-z0-9]*)\b", regex.I)
 SPACE = regex.compile(r"[^\S\n]+")
-TITLE = regex.compile(r"<title\b[^>]*>(.*?)</title\s*>", regex.I | regex.S)
-LINK = regex.compile(r"""<a\b[^>]*?\bhref\s*=\s*["']?([^"'\s>]+)""", regex.I)
+TITLE_END = regex.compile(r"</title\s*>", regex.I)
+HREF = regex.compile(r"""\bhref\s*=\s*["']?[^"'\s>]""", regex.I)
 FIELDS = ("warc_type string, record_id string, refers_to string, conversion_id string, target_uri string, content_type string, "
           "content_length long, block_digest string, payload_digest string, headers string, block string")
 KIND = {"string": pa.string(), "long": pa.int64()}
@@ -42,11 +44,51 @@ def record_id(*parts: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, chr(0).join(parts))}>"
 
 
+def reading(page: str) -> tuple[str, str | None, int]:
+    """(text, title, links) of a page, from one pass over it.
+
+    A tag goes from ``<`` to the next ``>``; from the first ``<`` without one on, nothing is text. Comments, scripts and the like are
+    left out up to their end or that of the page. The text has a line for each block; the title is that of the first title
+    element, and links are ``a`` tags with an address. Whatever is not found is looked for once, so the time follows the length.
+    """
+    out, title, links, at, no_title = [], None, 0, 0, False
+    while (i := page.find("<", at)) >= 0:
+        out.append(page[at:i])
+        if page.startswith("<!--", i):
+            out.append(" ")
+            end = page.find("-->", i + 4)
+            at = len(page) if end < 0 else end + 3
+            continue
+        named = NAME.match(page, i + 1)
+        name = named.group(1).lower() if named else ""
+        opens = page[i + 1:i + 2] != "/"
+        if name in SKIPPED and opens:
+            out.append(" ")
+            end = SKIPPED[name].search(page, named.end())
+            at = end.end() if end else len(page)
+            continue
+        j = page.find(">", i)
+        if j < 0:
+            at = len(page)
+            break
+        if name in BREAKS:
+            out.append("\n")
+        if name == "a" and opens:
+            links += HREF.search(page, i, j) is not None
+        elif name == "title" and opens and title is None and not no_title:
+            end = TITLE_END.search(page, j + 1)
+            no_title = end is None
+            title = page[j + 1:end.start()] if end else None
+        at = j + 1
+    out.append(page[at:])
+    lines = (SPACE.sub(" ", line).strip() for line in html.unescape("".join(out)).split("\n"))
+    title = None if title is None else SPACE.sub(" ", html.unescape(title)).strip()
+    return "\n".join(line for line in lines if line), title, links
+
+
 def plain_text(page: str) -> str:
     """The words a reader sees, a line for each block."""
-    text = TAG.sub("", BREAKS.sub("\n", SKIPPED.sub(" ", page)))
-    lines = (SPACE.sub(" ", line).strip() for line in html.unescape(text).split("\n"))
-    return "\n".join(line for line in lines if line)
+    return reading(page)[0]
 
 
 def written(fields: dict[str, str | None]) -> str:
@@ -58,11 +100,9 @@ def derivatives(response_id: str, uri: str | None, date: str, source_headers: st
     page = body or ""
     payload = digest(page.encode())
     clean_uri = None if uri is None else regex.sub(r"[\r\n]+", " ", uri)
-    text = plain_text(page)
-    title = TITLE.search(page)
+    text, title, links = reading(page)
     about = {
-        "title": SPACE.sub(" ", html.unescape(title.group(1))).strip() if title else None,
-        "outlinks": str(len(LINK.findall(page))), "source-length": str(len(page.encode())), "source-payload-digest": payload,
+        "title": title, "outlinks": str(links), "source-length": str(len(page.encode())), "source-payload-digest": payload,
         "text-length": str(len(text.encode()))}
     about |= {f"source-header-{k.strip().lower()}": v.strip()
               for k, _, v in (h.partition(":") for h in (source_headers or "").splitlines()) if v}
