@@ -150,3 +150,25 @@ def test_published_partitions_follow_the_commits(spark, tmp_path):
         assert [r.v for r in spark.table(f"{table}2").collect()] == [v]
     spark.sql(f"DROP TABLE {table}")
     spark.sql(f"DROP TABLE {table}2")
+
+
+@pytest.mark.parametrize("way", ["upsert", "replace"])
+def test_an_index_is_made_for_a_table_without_one(spark, tmp_path, way):
+    path = f"{tmp_path}/t"
+    sn.replace(spark, path, frame(spark, ("a", 1, 1), ("b", 2, 2), ("c", 3, 3)), ["d"])
+    if way == "upsert":
+        put(spark, path, ("a", 5, 2), ("x", 1, 2))
+    else:
+        sn.replace(spark, path, frame(spark, ("a", 5, 1)), ["d"], ["d=1"], index="k", placed=frame(spark, ("a", 5, 1)))
+        put(spark, path, ("x", 1, 2))
+    put(spark, path, ("b", 7, 9), ("c", 3, 1))
+    assert state(spark, path) == [("a", 5, 1), ("b", 7, 2), ("c", 3, 3), ("x", 1, 2)]
+
+
+def test_rows_move_when_a_partition_column_is_updated(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    differs = lambda s, t: (s("v") != t("v")) | (s("d") != t("d"))
+    for rows in ([("a", 1, 1), ("b", 2, 1)], [("a", 1, 2)], [("a", 3, 1), ("c", 1, 2)]):
+        s = sn.upsert(spark, path, frame(spark, *rows), "k", ["d"], ["v", "d"], differs)
+    assert state(spark, path) == [("a", 3, 1), ("b", 2, 1), ("c", 1, 2)] and set(s.changed) == {"d=1", "d=2"}
+    assert [(r.change, r.k, r.d) for r in sn.changes(spark, path, 1, 2).collect()] == [("update", "a", 2)]

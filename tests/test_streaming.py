@@ -372,6 +372,15 @@ def test_refresh_reads_its_window(spark, tmp_path):
     assert days(batch_jobs.refresh(spark, root, "fact_orders", dt.date(2024, 1, 5), 2, 5)) == {1: 3, 2: 4, 3: 4, 4: 3, 5: 4}
 
 
+def test_days_of_keys_with_and_without_an_index(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 2024, 1, 1), ("b", 2024, 1, 2), ("c", None, None, None)], "k string, year int, month int, day int")
+    keys = spark.createDataFrame([("b",), ("c",), ("x",)], "k string")
+    assert lake.known_days(spark, f"{tmp_path}", "orders", keys, "k") is None
+    for key in (None, "k"):
+        lake.write_silver(rows, f"{tmp_path}", "orders", None, key)
+        assert lake.known_days(spark, f"{tmp_path}", "orders", keys, "k") == {dt.date(2024, 1, 2), None}
+
+
 def test_files_that_cannot_be_read_are_told(spark, tmp_path):
     root = lake_of(spark, tmp_path, [1, 2])
     file = lake.read_gold(spark, root, "fact_payments", dt.date(2024, 1, 2)).inputFiles()[0]

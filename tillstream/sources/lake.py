@@ -107,10 +107,10 @@ def read_silver(spark: SparkSession, root: str, entity: str, day: Days = None) -
 
 
 def known_days(spark: SparkSession, root: str, entity: str, keys: DataFrame, key: str) -> set[dt.date | None] | None:
-    """The days of silver that hold any of these keys, from the index; nothing before the first load."""
+    """The days of silver that hold any of these keys, by the index; nothing before the first load."""
     path = os.path.join(root, "silver", entity)
     s = snapshots.load(spark, path)
-    if not s.index:
+    if not s.version:
         return None
     return {day_of(r[0]) for r in snapshots.homes(spark, path, keys, key, s).select("home").distinct().collect()}  # a row a day
 

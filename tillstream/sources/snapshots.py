@@ -202,6 +202,9 @@ def homes(spark: SparkSession, path: str, keys: DataFrame, key: str, snapshot: S
     """(key, home): the partition each of ``keys`` lies in, by the index; keys that are nowhere are left out. Opens the
     slots of these keys only, MOST_INDEX files of each at most, however many partitions there are."""
     s = snapshot or load(spark, path)
+    if s.parts and not s.index:  # written without an index: look the keys up in the table itself
+        held = read(spark, path, None, s).join(keys.select(key).distinct(), key, "left_semi")
+        return held.groupBy(key).agg(F.max(part_of(s.columns)).alias("home"))
     layout = T.StructType([T.StructField("k", T.StringType()), T.StructField("home", T.StringType()),
                            T.StructField("snapshot", T.LongType()), T.StructField("slot", T.IntegerType())])
     index = _folders(spark, path, "index", [f"commit={c}" for c in s.index], layout)
@@ -290,10 +293,11 @@ def replace(spark: SparkSession, path: str, df: DataFrame, columns: Sequence[str
         _write(feed.withColumn("snapshot", F.lit(version).cast("long")), f"{path}/log/commit={name}", ())
         new = dataclasses.replace(new, log=name)
     if index is not None:
-        rows = written.select(F.col(index).cast("string").alias("k"), part_of(columns).alias("home"))
-        if placed is not None:
+        anew = parts is None or not s.index  # also where earlier versions had no index
+        rows = (read(spark, path, None, new) if anew else written).select(F.col(index).cast("string").alias("k"), part_of(columns).alias("home"))
+        if placed is not None and not anew:
             rows = rows.join(placed.select(F.col(index).cast("string").alias("k")), "k", "left_semi")
-        new = dataclasses.replace(new, index=_new_index(spark, path, name, s, version, rows, parts is not None))
+        new = dataclasses.replace(new, index=_new_index(spark, path, name, s, version, rows, not anew))
     return commit(spark, path, new)
 
 
@@ -349,7 +353,7 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, key: str, columns:
     schema, work = source.schema, f"{path}/work/commit={name}"
     source.write.parquet(f"{work}/source")
     staged = spark.read.schema(schema).parquet(f"{work}/source")
-    located = staged.join(homes(spark, path, staged, key, s), key, "left") if s.index else staged.withColumn("home", F.lit(None).cast("string"))
+    located = staged.join(homes(spark, path, staged, key, s), key, "left") if s.parts else staged.withColumn("home", F.lit(None).cast("string"))
     located.write.parquet(f"{work}/located")
     located = spark.read.schema(located.schema).parquet(f"{work}/located")
 
@@ -387,8 +391,10 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, key: str, columns:
         after |= {p: [*after.get(p, ()), name] for p in now}
         placed = log.select(F.col(key).cast("string").alias("k"), "home", part_of(columns).alias("part"))
         placed = placed.where("home is null or home <> part").select("k", F.col("part").alias("home"))
-        new = dataclasses.replace(new, parts=after, changed=tuple(sorted({*now, *rewritten})), log=name,
-                                  index=_new_index(spark, path, name, s, version, placed, True))
+        new = dataclasses.replace(new, parts=after, changed=tuple(sorted({*now, *rewritten})), log=name)
+        if s.parts and not s.index:  # earlier versions had no index
+            placed = read(spark, path, None, new).select(F.col(key).cast("string").alias("k"), part_of(columns).alias("home"))
+        new = dataclasses.replace(new, index=_new_index(spark, path, name, s, version, placed, True))
     done = commit(spark, path, new)
     _delete(spark, work)
     return done
