@@ -49,6 +49,15 @@ FROM (SELECT user_id, country, city, device_type, customer_segment, event_timest
       UNION ALL SELECT user_id, country, city, device_type, customer_segment, event_timestamp, event_id, NULL
       FROM silver_clickstream)
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_timestamp DESC, event_id DESC, is_prime DESC NULLS LAST) = 1""")
+SQL["dim_users_by_state"] = SQL["dim_users"]
+add("dim_products_by_state", "SELECT * FROM dim_products_ev", dim_products_ev=DIM_PRODUCTS_EV)
+add("product_performance_by_state", f"""
+SELECT *, rank() OVER (PARTITION BY year, month, category ORDER BY total_revenue DESC) AS revenue_rank
+FROM (SELECT product_id, product_name, category, brand, year, month, {isum('quantity')} AS units_sold,
+             count(*) AS order_count, {r(ITEM_REV, 2)} AS total_revenue, {mavg('final_price')} AS avg_selling_price,
+             {mavg('discount_pct')} AS avg_discount_pct
+      FROM (SELECT order_id AS oid, year, month FROM silver_orders_ev WHERE {DONE}) JOIN items_ev ON oid = order_id
+      GROUP BY ALL)""")
 add("dim_time", """
 SELECT * FROM dim_time WHERE full_date BETWEEN (SELECT strftime(min(o_orderdate), '%Y-%m-%d') FROM orders)
                                           AND (SELECT strftime(max(o_orderdate), '%Y-%m-%d') FROM orders)""")

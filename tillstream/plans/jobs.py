@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tillstream.functions.schemas import WAREHOUSE, conform
 from tillstream.operators import gold, merge, rows, silver
-from tillstream.plans import views
+from tillstream.operators.rollups import KEPT
+from tillstream.plans import rollups, views
 from tillstream.sources import lake, snapshots, stage
 
 
@@ -63,7 +64,7 @@ def set_aside(raw: DataFrame, root: str, entity: str, day: dt.date | None) -> in
 
 def silver_to_gold(spark: SparkSession, root: str, day: rows.Days, run_ts: dt.datetime) -> None:
     """All facts, dimensions and KPI tables of a day, of several days (what ``bronze_to_silver`` changed) or of every day.
-    The shared inputs are read once."""
+    The shared inputs are read once. Tables over all days are kept as state, which takes what silver has written since."""
     orders, clicks, carts, payments = (lake.read_silver(spark, root, e) for e in ("orders", "clickstream", "carts", "payments"))
     today = gold.on_day(orders, day).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -77,11 +78,9 @@ def silver_to_gold(spark: SparkSession, root: str, day: rows.Days, run_ts: dt.da
         today.unpersist()
     lake.write_gold(gold.fact_payments(payments, day, run_ts), root, "fact_payments", by_day, day)
     lake.write_gold(gold.fact_clickstream(clicks, day, run_ts), root, "fact_clickstream", by_day, day)
-    lake.write_gold(gold.dim_users(orders, clicks, run_ts), root, "dim_users")
-    lake.write_gold(gold.dim_products(orders, None, run_ts), root, "dim_products")
     lake.write_gold(gold.dim_time(spark), root, "dim_time")
-    lake.write_gold(gold.dim_devices(orders, run_ts), root, "dim_devices")
-    lake.write_gold(gold.agg_product_performance(orders, None, day, run_ts), root, "agg_product_performance", ["year", "month"], day)
+    for name in KEPT:
+        rollups.refresh(spark, root, name, run_ts)
 
 
 def daily(spark: SparkSession, root: str, day: dt.date, run_ts: dt.datetime) -> set[dt.date | None]:
@@ -146,7 +145,7 @@ def report_daily_revenue(spark: SparkSession, base: str, orders: snapshots.Snaps
     done = s.marks.get("fact_orders", 0)
     if done == orders.version:
         return s
-    days = _written_since(spark, f"{base}/fact_orders", orders, done) if done else None
+    days = snapshots.written_since(spark, f"{base}/fact_orders", orders, done) if done else None
     fact = snapshots.read(spark, f"{base}/fact_orders", days, orders)
     parts = None if days is None else {f"report_date={_report_date(p)}" for p in days}
     return snapshots.replace(spark, path, views.rpt_daily_revenue(fact), columns, parts, marks={"fact_orders": orders.version})
@@ -181,7 +180,7 @@ def refresh(spark: SparkSession, root: str, name: str, as_of: dt.date, refresh_d
     source, path = os.path.join(root, "gold", name), os.path.join(root, "bi", name)
     reload, keep = refresh_window(as_of, refresh_days, archive_days)
     now, model = snapshots.load(spark, source), snapshots.load(spark, path)
-    news = _written_since(spark, source, now, model.marks.get("gold", 0))
+    news = snapshots.written_since(spark, source, now, model.marks.get("gold", 0))
     until = model.marks.get("as_of")  # days after it are new to the archive
     first = keep if until is None else min(reload, dt.date.fromisoformat(until) + dt.timedelta(days=1))
     late = keep if until is None or model.marks["keep"] <= keep.isoformat() else dt.date.fromisoformat(model.marks["keep"])
@@ -199,11 +198,3 @@ def refresh(spark: SparkSession, root: str, name: str, as_of: dt.date, refresh_d
     if window or old or not model.version:
         snapshots.replace(spark, path, snapshots.read(spark, source, window, now), lake.DAY, window, drop=old, marks=marks)
     return snapshots.read(spark, path)
-
-
-def _written_since(spark: SparkSession, path: str, now: snapshots.Snapshot, after: int) -> set[str]:
-    """Partitions that versions after ``after`` wrote or dropped; all there are, where manifests are no longer kept."""
-    between = range(after + 1, now.version + 1)
-    if not set(snapshots.versions(spark, path)).issuperset(between):
-        return set(now.parts)
-    return {p for v in between for p in snapshots.load(spark, path, v).changed}

@@ -67,7 +67,8 @@ def _fs(spark: SparkSession, path: str):
     return _path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder or a file that nothing names."""
     _fs(spark, path).delete(_path(spark, path), True)
 
 
@@ -92,6 +93,18 @@ def load(spark: SparkSession, path: str, version: int | None = None) -> Snapshot
     return Snapshot(**{k: tuple(v) if k in ("columns", "index", "changed") else v for k, v in fields.items()})
 
 
+def keeps(spark: SparkSession, path: str, first: int, last: int) -> bool:
+    """Whether the manifests of these versions are all still there."""
+    return set(versions(spark, path)).issuperset(range(first, last + 1))
+
+
+def written_since(spark: SparkSession, path: str, now: Snapshot, after: int) -> set[str]:
+    """Partitions that versions after ``after`` wrote or dropped; all there are, where manifests are no longer kept."""
+    if not keeps(spark, path, after + 1, now.version):
+        return set(now.parts)
+    return {p for v in range(after + 1, now.version + 1) for p in load(spark, path, v).changed}
+
+
 def commit(spark: SparkSession, path: str, snapshot: Snapshot) -> Snapshot:
     """Make ``snapshot`` the newest version. This rename is the only step that readers notice."""
     target, draft = f"{path}/manifests/{snapshot.version:012d}.json", f"{path}/manifests/.{uuid.uuid4().hex}"
@@ -106,7 +119,7 @@ def commit(spark: SparkSession, path: str, snapshot: Snapshot) -> Snapshot:
     try:
         files.rename(_path(spark, draft), _path(spark, target), no_options)
     except Py4JJavaError as error:
-        _delete(spark, draft)
+        remove(spark, draft)
         if "FileAlreadyExists" in str(error.java_exception):
             raise Conflict(f"version {snapshot.version} of {path} is already there") from None
         raise
@@ -396,7 +409,7 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, key: str, columns:
             placed = read(spark, path, None, new).select(F.col(key).cast("string").alias("k"), part_of(columns).alias("home"))
         new = dataclasses.replace(new, index=_new_index(spark, path, name, s, version, placed, True))
     done = commit(spark, path, new)
-    _delete(spark, work)
+    remove(spark, work)
     return done
 
 
