@@ -9,6 +9,8 @@ Defined results: a text that is null or has no letter is ``und`` with score 0, a
 equal cosines go to the first language in alphabetical order; repeated rows count as often as they are there. Long
 texts go through in pieces of PIECE characters.
 
+A row without an id is not learned from; rows that share an id are chosen or left together.
+
 Training reads at most ``fit_rows`` labelled texts a language (those of the smallest hash of their id), and every learned
 language; prediction reads every text whole.
 """
@@ -108,8 +110,8 @@ def fit(docs: DataFrame, id_col: str, text: str, lang: str, learn_from: Column,
         fit_rows: int = FIT_ROWS) -> tuple[list[str], np.ndarray]:
     """Languages and their unit prototypes. Each task bundles its rows, a sum joins the tasks: what reaches the driver
     is one vector a language."""
-    rows = docs.where(learn_from & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(id_col).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    rows = docs.where(learn_from & F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(id_col).isNotNull()).select(
+        F.xxhash64(id_col).alias("h"), F.col(id_col).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     # the rows of smallest hash; a bound on the hash that leaves about twice as many of each language comes first, so that no
     # window holds a whole language
     counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
@@ -118,12 +120,13 @@ def fit(docs: DataFrame, id_col: str, text: str, lang: str, learn_from: Column,
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     counts = docs.sparkSession.createDataFrame(found, counts.schema)
     share = F.least(F.lit(1.0), F.lit(2.0 * fit_rows) / F.col("rows"))
-    few = rows.withColumn("h", F.xxhash64("id")).join(F.broadcast(counts), "lang").where(
-        F.col("h").cast("double") / 2.0 ** 64 + 0.5 <= share).drop("rows")
+    few = rows.select("lang", "h", "id").join(F.broadcast(counts), "lang").where(F.col("h").cast("double") / 2.0 ** 64 + 0.5 <= share)
     of_language = Window.partitionBy("lang").orderBy("h", "id")
-    chosen = (few.select("id", "lang", "h").withColumn("n", F.row_number().over(of_language))
-              .where(F.col("n") <= fit_rows).select("id", "lang").distinct())
-    sample = few.join(chosen, ["id", "lang"], "left_semi").select("lang", "text")
+    chosen = few.withColumn("n", F.row_number().over(of_language)).where(F.col("n") <= fit_rows)
+    # texts stay where they are read: they are held against the last chosen row of their language, at most one row a language
+    last = chosen.groupBy("lang").agg(F.max(F.struct("h", "id")).alias("last")).collect()
+    bounds = docs.sparkSession.createDataFrame(last, chosen.select("lang", F.struct("h", "id").alias("last")).schema)
+    sample = rows.join(F.broadcast(bounds), "lang").where(F.struct("h", "id") <= F.col("last")).select("lang", "text")
 
     def bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -140,9 +143,8 @@ def fit(docs: DataFrame, id_col: str, text: str, lang: str, learn_from: Column,
 
     parts = sample.mapInArrow(bundled, "lang string, v array<double>").select("lang", F.posexplode("v").alias("k", "x"))
     sums = parts.groupBy("lang", "k").agg(F.round(F.sum("x"), 9).alias("x"))
-    got: dict[str, np.ndarray] = {}
-    for r in sums.limit(MAX_LANGUAGES * DIMENSIONS).collect():
-        got.setdefault(r["lang"], np.zeros(DIMENSIONS))[r["k"]] = r["x"]
+    whole = sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("k", "x"))).alias("v"))
+    got = {r["lang"]: np.array([k["x"] for k in r["v"]]) for r in whole.select("lang", "v").collect()}  # one vector a language
     names = sorted(got)
     if not names:
         return [], np.zeros((0, DIMENSIONS), np.float32)
