@@ -4,13 +4,13 @@ States are a role and whether a line begins a turn or goes on with one. A line s
 features: whether the line before is blank, whether it ends as a question, and its length. Transition and emission probabilities are counts over
 labelled transcripts, taken by Spark over the whole table; Viterbi finds the most probable states of a transcript's lines.
 
-A transcript comes in parts (consecutive pieces of whole lines). Parts are numbered gaplessly by ranks within ranges of rows. Up
-to SPAN parts are decoded together. A longer transcript is decoded span by span: each span gives the best scores from
+A transcript comes in parts (consecutive pieces of whole lines). Up to SPAN parts are put together by one shuffle and decoded
+together. Parts of a longer transcript are numbered gaplessly by ranks within ranges of rows, and it is decoded span by span: each span gives the best scores from
 every state before it to every state at its end, these are multiplied SPAN at a time up to the whole transcript, and the most probable
 states at the cuts follow on the way down. So the cuts change no role, and no task holds an unbounded transcript, but for
 the text of a turn, which is put together from its spans' pieces.
 
-Defined results: a null part is an empty line; parts with one number are taken in the order of their text; a transcript
+Defined results: a null part is an empty line; parts with one number are taken in the order of their text; equally probable states: the first one wins, in the order of ROLES; a transcript
 without parts does not exist; without labelled rows every state is as likely; a line with an unknown role's marker is judged
 by its other features. Only the columns asked for are read.
 """
@@ -155,19 +155,18 @@ def same(a: DataFrame, b: DataFrame, *columns: str, how: str = "inner") -> DataF
 
 
 def numbered(transcripts: DataFrame, span: int) -> DataFrame:
-    """(conv, span, r, text, long): rank of every part in its transcript from 0, and whether that has several spans. Ranks are
-    taken within ranges of rows of about one size, with the counts of the ranges before."""
+    """(conv, span, r, text): rank of every part in its transcript from 0, taken within ranges of rows of about one size, with
+    the counts of the ranges before."""
     ranges = int(transcripts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ("part", "text", "uid")
     rows = transcripts.select("conv", "part", "text", F.monotonically_increasing_id().alias("uid"))
     rows = written(rows.repartitionByRange(ranges, "conv", *order).withColumn("range", F.spark_partition_id()), "ranges")
-    whole = Window.partitionBy("conv")
-    upto = whole.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("conv").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     counts = rows.groupBy("conv", "range").agg(F.count(F.lit(1)).alias("n")).select(
-        "conv", "range", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("offset"), (F.sum("n").over(whole) > span).alias("long"))
+        "conv", "range", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("offset"))
     inside = rows.withColumn("r", F.row_number().over(Window.partitionBy("conv", "range").orderBy(*order)))
     placed = same(inside, counts, "conv", "range").withColumn("r", F.col("r") + F.col("offset") - 1)
-    return placed.select("conv", F.floor(F.col("r") / span).alias("span"), "r", "text", "long")
+    return placed.select("conv", F.floor(F.col("r") / span).alias("span"), "r", "text")
 
 
 def ends(nodes: DataFrame, kind: str, span: int) -> DataFrame:
@@ -226,13 +225,13 @@ def ends(nodes: DataFrame, kind: str, span: int) -> DataFrame:
 def parsed(transcripts: DataFrame, model: Model, span: int = SPAN) -> DataFrame:
     """(conv, turn, role, n_lines, canonical) of every recovered turn. ``transcripts`` is (conv, part, text)."""
     kind = transcripts.schema["conv"].dataType.simpleString()
-    parts = written(numbered(transcripts, span), "parts")
-    before = parts.where(F.col("long") & ((F.col("r") + 1) % span == 0)).select(
-        "conv", (F.col("span") + 1).alias("span"), F.substring_index(F.coalesce("text", F.lit("")), "\n", -1).alias("line"))
-    spans = (parts.groupBy("conv", "span", "long").agg(F.sort_array(F.collect_list(F.struct("r", "text"))).alias("parts"))
-             .select("conv", "span", "long", F.transform("parts", lambda p: p["text"]).alias("texts")))
-    spans = written(same(spans, before, "conv", "span", how="left").select("conv", "span", "texts", "line", "long"), "spans")
-    large = spans.where("long")
+    sizes = transcripts.groupBy("conv").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > span)
+    over = written(sizes.select("conv"), "long")
+    any_long = not over.isEmpty()
+    short = same(transcripts.select("conv", "part", "text"), over, "conv", how="left_anti") if any_long else transcripts
+    whole = short.groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("part", "text"))).alias("parts")).select(
+        "conv", F.lit(0).cast("long").alias("span"), F.transform("parts", lambda p: p["text"]).alias("texts"),
+        *[F.lit(None).cast(t).alias(n) for n, t in (("line", "string"), ("before", "int"), ("last", "int"))])
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -265,10 +264,14 @@ def parsed(transcripts: DataFrame, model: Model, span: int = SPAN) -> DataFrame:
                                              names=["conv", "span", "turn", "role", "n_lines", "canonical"])
 
     shape = f"conv {kind}, span long, turn long, role string, begins boolean, n_lines int, text string"
-    open_ended = spans.where("not long").select("conv", "span", "texts", "line", F.lit(None).cast("int").alias("before"),
-                                                F.lit(None).cast("int").alias("last"))
-    found = open_ended.mapInArrow(of, shape).drop("begins")
-    if not large.isEmpty():
+    found = whole.mapInArrow(of, shape).drop("begins")
+    if any_long:
+        parts = written(numbered(same(transcripts, over, "conv", how="left_semi"), span), "parts")
+        before = parts.where((F.col("r") + 1) % span == 0).select(
+            "conv", (F.col("span") + 1).alias("span"), F.substring_index(F.coalesce("text", F.lit("")), "\n", -1).alias("line"))
+        spans = (parts.groupBy("conv", "span").agg(F.sort_array(F.collect_list(F.struct("r", "text"))).alias("parts"))
+                 .select("conv", "span", F.transform("parts", lambda p: p["text"]).alias("texts")))
+        large = written(same(spans, before, "conv", "span", how="left").select("conv", "span", "texts", "line"), "spans")
         nodes = written(large.mapInArrow(matrices, f"conv {kind}, k long, m array<double>"), "nodes")
         cuts = ends(nodes, kind, span).withColumnRenamed("k", "span")
         cut = same(large, cuts, "conv", "span").select("conv", "span", "texts", "line", "before", "last")

@@ -31,11 +31,13 @@ def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roles are learned from the conversations that are not held out; all are parsed."""
     rows = table(spark, sf_dir, "conversations")
     part = op3_chat.transcript_part(*(F.col(c) for c in ("conv_id", "turn", "role", "text")))
     parts = rows.select(F.col("conv_id").alias("conv"), F.col("turn").alias("part"), "role", part.alias("text"))
-    found = op3_chat.parsed(parts.drop("role"), op3_chat.fit(parts))
-    return found.withColumnRenamed("conv", "conv_id")
+    held_out = F.coalesce(F.crc32(F.col("conv").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    found = op3_chat.parsed(parts.drop("role"), op3_chat.fit(parts.where(~held_out)))
+    return found.withColumn("held_out", held_out).withColumnRenamed("conv", "conv_id")
 
 
 def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
