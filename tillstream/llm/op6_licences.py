@@ -2,8 +2,8 @@
 
 A paragraph (a line of a text that has a word) is classified by multinomial logistic regression on hashed, weighted
 word 1- and 2-grams. It is trained here: on excerpts of the templates below for the licence families, and for the class
-``none`` on a bounded sample of paragraphs of the corpus that share no two-word run with a template's name. Probabilities are calibrated by
-a temperature fitted on held-out excerpts.
+``none`` on a bounded sample of paragraphs of the corpus that contain no template. Probabilities are calibrated by a temperature
+of least log loss over templates and paragraphs that were left out of the training.
 
 A licence is looked for where it stands, however long the paragraph is: a template (a notice, or a sentence of a licence)
 is contained if a run of words of about its length has enough of its word pairs, among them one that only its family has. The classifier
@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 
 DIMENSIONS = 1 << 14
 SAMPLE = 4000  # paragraphs of the corpus to learn ``none`` from: those of the smallest hash
-SAMPLE_CHARS = 4000  # of each of these, so that the driver holds a bounded sample; scanned paragraphs are read whole
+SAMPLE_CHARS = 4000  # longer paragraphs are not learned from, so that the driver holds a bounded sample; all are scanned, whole
 EXCERPTS = 120  # of each family
+EPOCHS = 12
+FOLDS = 3  # for the calibration
 THRESHOLD = 0.5
 CONFIRMED = 0.6  # of a template's word pairs, in a run of the paragraph
 LOOSE = 1.25, 6  # such a run has at most so many times the template's words, and so many more
@@ -122,11 +124,20 @@ def pairs(words: list[str]) -> set[tuple[str, str]]:
 
 ALL_PAIRS = {p for ts in TEMPLATES.values() for t in ts for p in pairs(words_of(t))}
 KNOWN = [(f, pairs(words_of(t)), len(words_of(t))) for f in FAMILIES for t in (*TEMPLATES[f], *SENTENCES[f])]
-HAS: dict[tuple[str, str], list[int]] = {}  # templates by word pair
-for _k, (_, _pairs, _) in enumerate(KNOWN):
-    for _p in _pairs:
-        HAS.setdefault(_p, []).append(_k)
-OWN = {p: KNOWN[ks[0]][0] for p, ks in HAS.items() if len({KNOWN[k][0] for k in ks}) == 1}  # pairs of one family only
+NAMELESS = {"version", "v", "license", "licensed", "under", "the"}  # with numbers, these tell no family
+
+
+def by_pair(known: list[tuple[str, set[tuple[str, str]], int]]) -> tuple[dict[tuple[str, str], list[int]], dict[tuple[str, str], str]]:
+    """Templates by word pair, and the family of the pairs that only one family has."""
+    has: dict[tuple[str, str], list[int]] = {}
+    for k, (_, of, _) in enumerate(known):
+        for p in of:
+            has.setdefault(p, []).append(k)
+    named = {p for p in has if not all(w in NAMELESS or w.isdigit() for w in p)}
+    return has, {p: known[has[p][0]][0] for p in named if len({known[k][0] for k in has[p]}) == 1}
+
+
+HAS, OWN = by_pair(KNOWN)
 VOCABULARY = {w for ts in TEMPLATES.values() for t in ts for w in words_of(t)}
 
 
@@ -178,12 +189,12 @@ def contained(words: list[str]) -> list[tuple[int, int, str]]:
     return sorted(out)
 
 
-def excerpts(rng: np.random.Generator) -> tuple[list[list[str]], list[int]]:
-    """Cut and damaged copies of the templates, as notices appear in texts."""
-    texts, labels = [], []
+def excerpts(rng: np.random.Generator) -> tuple[list[list[str]], list[int], list[int]]:
+    """Cut and damaged copies of the templates, as notices appear in texts: words, family, and place of the template in its family."""
+    texts, labels, sources = [], [], []
     for k, family in enumerate(FAMILIES):
+        of = (*TEMPLATES[family], *SENTENCES[family])
         for n in range(EXCERPTS):
-            of = (*TEMPLATES[family], *SENTENCES[family])
             words = words_of(of[n % len(of)])
             if n >= len(of) and len(words) > 8:
                 begin = int(rng.integers(0, len(words) // 3))
@@ -191,38 +202,59 @@ def excerpts(rng: np.random.Generator) -> tuple[list[list[str]], list[int]]:
                 words = [w for w in words if rng.random() > 0.05] or words
             texts.append(words)
             labels.append(k)
-    return texts, labels
+            sources.append(n % len(of))
+    return texts, labels, sources
+
+
+def class_weights(labels: np.ndarray) -> np.ndarray:
+    """Rare classes weigh as much as the common one."""
+    return len(labels) / (len(CLASSES) * np.bincount(labels, minlength=len(CLASSES)).clip(1))
+
+
+def calibrated(scores: np.ndarray, labels: np.ndarray) -> float:
+    """The temperature of least mean log loss, classes weighing alike; within a factor of 1.1."""
+    weight, best = class_weights(labels)[labels], (np.inf, 1.0)
+    for t in 1.1 ** np.arange(-15, 31):
+        z = scores / t
+        z = z - z.max(axis=1, keepdims=True)
+        loss = np.log(np.exp(z).sum(axis=1)) - z[np.arange(len(labels)), labels]
+        best = min(best, (float((weight * loss).sum()), float(t)))
+    return best[1]
 
 
 class Classifier:
-    def __init__(self, plain: list[str]):
+    """Trained on excerpts of all templates and on plain paragraphs. The temperature is that of least log loss over items whose
+    template had no part in the training: the templates of each family are dealt into FOLDS, and so are the plain paragraphs."""
+
+    def __init__(self, plain: list[list[str]]):
         rng = np.random.default_rng(7)
-        texts, labels = excerpts(rng)
-        for p in plain:
-            texts.append(words_of(p))
+        texts, labels, sources = excerpts(rng)
+        for n, words in enumerate(plain):
+            texts.append(words)
             labels.append(len(FAMILIES))
-        order = rng.permutation(len(texts))
-        held, used = order[:len(order) // 5], order[len(order) // 5:]
+            sources.append(n)
+        vectors, labels, folds = [vector(t) for t in texts], np.array(labels), np.array(sources) % FOLDS
+        scores = np.zeros((len(vectors), len(CLASSES)))
+        for fold in range(FOLDS):
+            self.train(rng, vectors, labels, np.flatnonzero(folds != fold))
+            for i in np.flatnonzero(folds == fold):
+                scores[i] = self.scores(*vectors[i])
+        self.temperature = calibrated(scores, labels)
+        self.train(rng, vectors, labels, np.arange(len(vectors)))
+
+    def train(self, rng: np.random.Generator, vectors: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, used: np.ndarray) -> None:
         self.weights = np.zeros((DIMENSIONS, len(CLASSES)))
         self.bias = np.zeros(len(CLASSES))
-        self.temperature = 1.0
-        vectors = [vector(t) for t in texts]
-        # rare classes weigh as much as the common one
-        share = np.bincount(labels, minlength=len(CLASSES)).clip(1)
-        weight = len(labels) / (len(CLASSES) * share)
-        for epoch in range(12):
+        weight = class_weights(labels)
+        for epoch in range(EPOCHS):
             step = 2.0 / (1 + epoch)
             for i in rng.permutation(used):
                 at, value = vectors[i]
-                error = self.probabilities(at, value)
+                error = self.softmax(self.scores(at, value))
                 error[labels[i]] -= 1
                 rate = step * min(4.0, weight[labels[i]])
                 self.weights[at] -= rate * value[:, None] * error
                 self.bias -= 0.1 * rate * error
-        scores = [self.scores(*vectors[i]) for i in held]
-        losses = {t: -np.mean([self.softmax(s / t)[labels[i]].clip(1e-12) for s, i in zip(scores, held)])
-                  for t in (0.5, 0.7, 1.0, 1.4, 2.0, 3.0)} if len(held) else {1.0: 0.0}
-        self.temperature = min(losses, key=losses.get)
 
     @staticmethod
     def softmax(s: np.ndarray) -> np.ndarray:
@@ -274,21 +306,18 @@ class Classifier:
 
 
 def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> Classifier:
-    """Learns from at most ``sample`` different paragraphs that have no word pair of a template, ``sample_chars`` of each.
+    """Learns from at most ``sample`` different paragraphs of up to ``sample_chars`` that contain no template.
 
     They are those of the smallest hashes. A bound on the hash that leaves about twice as many comes first, so that tasks
     hand over few paragraphs however many tasks there are, and a paragraph with many copies counts once.
     """
-    names = sorted({" ".join(p) for p in ALL_PAIRS})
-    lines = docs.select(F.explode(paragraphs(F.col(text))).alias("p")).where(F.length(F.trim("p")) > 0)
-    lines = lines.select(F.substring("p", 1, sample_chars).alias("p")).select("p", F.xxhash64("p").alias("h"))
+    lines = docs.select(F.explode(paragraphs(F.col(text))).alias("p")).where(
+        (F.length(F.trim("p")) > 0) & (F.length("p") <= sample_chars)).select("p", F.xxhash64("p").alias("h"))
     different = lines.agg(F.approx_count_distinct("h")).first()[0]
     if different > 2 * sample:
         lines = lines.where(F.col("h") < int(-2 ** 63 + 2 ** 64 * (2 * sample / different)))
-    lines = lines.distinct().orderBy("h", "p").limit(sample)
-    known = set(names)
-    return Classifier([r["p"] for r in lines.collect()
-                       if words_of(r["p"]) and not known & {" ".join(x) for x in pairs(words_of(r["p"]))}])
+    found = [words_of(r["p"]) for r in lines.distinct().orderBy("h", "p").limit(sample).collect()]
+    return Classifier([words for words in found if words and not contained(words)])
 
 
 def scan(docs: DataFrame, classifier: Classifier, text: str = "text", into: str = "licence") -> DataFrame:
