@@ -78,3 +78,22 @@ def test_unknown_entity_and_own_checks(spark):
     own = [dq.DQCheck("even_total", dq.LOW, "custom", F.col("total_amount") % 2 == 0)]
     r = dq.validate(frame(spark, ORDER), "orders", NOW, own).first()
     assert (r.dq_status, r.dq_warnings, r.dq_results[0].message) == ("FAIL", 1, "Check failed")
+
+
+def test_each_check_is_evaluated_once(spark):
+    marks = [dq.DQCheck(f"c{i}", dq.HIGH, "custom", F.col("total_amount") != 7000 + i) for i in range(70)]
+    df = frame(spark, ORDER, {**ORDER, "total_amount": 7069.0}, {**ORDER, "total_amount": None})
+    profile = dq.profile(df, "orders", NOW, marks)
+    plan = profile._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("7069.0") == 1
+    r = profile.first()
+    assert (r.total_records, r.passed_records) == (3, 1)
+    # the record without a total fails every check, the one of 7069 the last
+    assert [f.failures for f in r.check_failures] == [1] * 69 + [2]
+
+
+def test_alerts_from_profiles(spark):
+    df = frame(spark, *[{**ORDER, "order_id": f"ORD-{i}"} for i in range(4)], {**ORDER, "total_amount": -1.0})
+    one = dq.alerts(dq.summary(df, "orders", NOW), NOW, dq.check_failures(df, "orders", NOW)).collect()
+    assert dq.profile_alerts(dq.profile(df, "orders", NOW), NOW).collect() == one
+    assert dq.profile_alerts(dq.profile(df.filter("false"), "orders", NOW), NOW).collect() == []

@@ -133,6 +133,26 @@ def test_stream_equals_batch(spark, folder, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/lake/triage/{entity}").agg(F.sum("records")).first()[0] >= want.failed_records
 
 
+@pytest.mark.parametrize("entity", ["orders", "payments"])
+def test_summary_reads_a_batch_once(spark, folder, tmp_path, entity):
+    data = three_days(spark, folder, entity)
+    data.write.parquet(f"{tmp_path}/in")
+    classified = ingest.classify(spark.read.parquet(f"{tmp_path}/in"), entity)
+    seen = ingest.process(classified, entity).keys.filter("crc32(cast(key as binary)) % 3 = 0")
+    plain = ingest.process(classified, entity)
+    plan = ingest.batch_summary(plain, entity)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    for known in (None, seen):
+        out = ingest.process(classified, entity, known)
+        got, kept = ingest.batch_summary(out, entity).first(), out.accepted
+        assert got.valid_records == kept.count() and got.failed_records == out.failed.count()
+        assert got.total_records == data.count()
+        if entity == "payments":
+            assert got.fraud_flagged == kept.filter("is_fraud_flagged").count()
+    empty = ingest.process(classified.filter("false"), entity)
+    assert ingest.batch_summary(empty, entity).first().total_records == 0
+
+
 def test_key_expires_after_a_day(spark, tmp_path):
     lakes = f"{tmp_path}/lake"
     for i, hours in enumerate([0, 23, 25]):

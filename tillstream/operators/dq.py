@@ -35,18 +35,15 @@ class DQCheck:
         ok = F.coalesce(self.passed, F.lit(False))
         return ok if self.raises is None else ok & ~self.raises
 
-    def level(self) -> Column:
-        """Severity that counts for this row."""
-        return F.lit(self.severity) if self.raises is None else F.when(self.raises, HIGH).otherwise(self.severity)
-
-    def result(self) -> Column:
-        text = self.message if self.message is not None else F.lit("Check failed")
+    def result(self, ok: Column, raised: Column) -> Column:
+        """Outcome as a struct, from the two answers of the check."""
+        text, severity = F.lit("Check failed") if self.message is None else self.message, F.lit(self.severity)
         if self.raises is not None:
-            text = F.when(self.raises, "Check could not be evaluated").otherwise(text)
+            text = F.when(raised, "Check could not be evaluated").otherwise(text)
+            severity = F.when(raised, HIGH).otherwise(severity)
         return F.struct(
-            F.lit(self.name).alias("check_name"), F.lit(self.category).alias("category"), self.level().alias("severity"),
-            F.when(self.ok(), "PASS").otherwise("FAIL").alias("status"),
-            F.when(self.ok(), "OK").otherwise(text).alias("message"))
+            F.lit(self.name).alias("check_name"), F.lit(self.category).alias("category"), severity.alias("severity"),
+            F.when(ok, "PASS").otherwise("FAIL").alias("status"), F.when(ok, "OK").otherwise(text).alias("message"))
 
 
 def _shown(field: str) -> Column:
@@ -143,21 +140,52 @@ def check_set(entity: str, as_of: dt.datetime) -> list[DQCheck]:
     return CHECK_SETS[entity](as_of)
 
 
-def _count(conditions: list[Column]) -> Column:
-    return reduce(Column.__add__, [F.when(c, 1).otherwise(0) for c in conditions])
+_WORD = 62  # checks in one mask
+
+
+def _masked(df: DataFrame, checks: list[DQCheck]) -> DataFrame:
+    """Evaluate every check once: bit i of ``_failed`` says that check i failed, of ``_raised`` that it could not be evaluated.
+
+    The masks are longs in arrays, so there may be any number of checks. The one-row generator keeps Spark from spelling the
+    checks out again wherever the masks are read.
+    """
+    def words(condition: Callable[[DQCheck], Column | None]) -> Column:
+        out = []
+        for at in range(0, max(len(checks), 1), _WORD):
+            bits = [F.when(c, F.lit(1 << i)).otherwise(F.lit(0)).cast("long")
+                    for i, c in enumerate(map(condition, checks[at:at + _WORD])) if c is not None]
+            out.append(reduce(Column.bitwiseOR, bits, F.lit(0).cast("long")))
+        return F.array(*out)
+
+    masks = F.struct(words(lambda c: ~c.ok()).alias("_failed"), words(lambda c: c.raises).alias("_raised"))
+    return df.select(*df.columns, F.inline(F.array(masks)))
+
+
+def _bit(mask: str, i: int) -> Column:
+    return F.col(mask)[i // _WORD].bitwiseAND(F.lit(1 << i % _WORD).cast("long")) != 0
+
+
+def _failed_of(checks: list[DQCheck], *severities: str) -> Column:
+    """Number of failed checks of some severities. A check that could not be evaluated counts as HIGH."""
+    counts = []
+    for at in range(0, max(len(checks), 1), _WORD):
+        wanted = sum(1 << i for i, c in enumerate(checks[at:at + _WORD]) if c.severity in severities)
+        failed, raised = F.col("_failed")[at // _WORD], F.col("_raised")[at // _WORD]
+        of_level = failed.bitwiseAND(F.lit(wanted).cast("long")).bitwiseAND(F.bitwise_not(raised))
+        counts.append(F.bit_count(of_level) + (F.bit_count(failed.bitwiseAND(raised)) if HIGH in severities else 0))
+    return reduce(Column.__add__, counts)
 
 
 def validate(df: DataFrame, entity: str, as_of: dt.datetime, checks: list[DQCheck] | None = None) -> DataFrame:
     """One report per record. ``dq_results`` holds every check's outcome; unused columns are pruned away."""
     checks = check_set(entity, as_of) if checks is None else checks
     ids = [F.nullif(F.col(c), F.lit("")) for c in RECORD_IDS.get(entity, ["event_id"]) if c in df.columns]
-    failed = [~c.ok() for c in checks]
-    out = df.withColumns({
+    out = _masked(df, checks).withColumns({
         "dq_record_id": F.coalesce(*ids, F.lit("unknown")), "dq_total_checks": F.lit(len(checks)),
-        "dq_failed": _count(failed),
-        "dq_warnings": _count([~c.ok() & c.level().isin(LOW, MEDIUM) for c in checks]),
-        "dq_critical": reduce(Column.__or__, [~c.ok() & (c.level() == CRITICAL) for c in checks]),
-        "dq_results": F.array(*[c.result() for c in checks])})
+        "dq_failed": _failed_of(checks, CRITICAL, HIGH, MEDIUM, LOW),
+        "dq_warnings": _failed_of(checks, LOW, MEDIUM),
+        "dq_critical": _failed_of(checks, CRITICAL) > 0,
+        "dq_results": F.array(*[c.result(~_bit("_failed", i), _bit("_raised", i)) for i, c in enumerate(checks)])})
     out = out.withColumn("dq_passed", F.col("dq_total_checks") - F.col("dq_failed"))
     return out.withColumns({
         "dq_score": x.rnd(F.col("dq_passed") / F.col("dq_total_checks"), 4),
@@ -179,29 +207,39 @@ def records_by_status(validated: DataFrame, passed: bool) -> DataFrame:
     return validated.filter(ok if passed else ~ok).select("dq_record_id", "dq_status", "dq_score")
 
 
-def summary(df: DataFrame, entity: str, as_of: dt.datetime, checks: list[DQCheck] | None = None) -> DataFrame:
-    """Batch totals in one aggregate pass. ``alert`` = more than 10 % of the records failed."""
-    v = validate(df, entity, as_of, checks)
+def profile(df: DataFrame, entity: str, as_of: dt.datetime, checks: list[DQCheck] | None = None) -> DataFrame:
+    """Totals and failures of every check as one row, from one pass in which each check is evaluated once."""
+    checks = check_set(entity, as_of) if checks is None else checks
+    failures = [F.count_if(_bit("_failed", i)).alias(f"_c{i}") for i in range(len(checks))]
+    totals = validate(df, entity, as_of, checks).agg(
+        F.count(F.lit(1)).alias("total_records"), F.count_if(F.col("dq_status") == "PASS").alias("passed_records"),
+        F.count_if("dq_critical").alias("critical_failures"), x.fixed_avg("dq_score", 4, 4).alias("avg_quality_score"), *failures)
+    rows = F.array(*[F.struct(F.lit(c.name).alias("check_name"), F.lit(c.category).alias("category"),
+                              F.col(f"_c{i}").alias("failures")) for i, c in enumerate(checks)])
+    return totals.select(F.lit(entity).alias("entity"), "total_records", "passed_records", "critical_failures",
+                         "avg_quality_score", rows.alias("check_failures"))
+
+
+def summary_of(profiles: DataFrame) -> DataFrame:
+    """Batch totals of profiles. ``alert`` = more than 10 % of the records failed."""
     n = F.col("total_records")
-    out = v.agg(F.count(F.lit(1)).alias("total_records"), F.count_if(F.col("dq_status") == "PASS").alias("passed_records"),
-                F.count_if("dq_critical").alias("critical_failures"), x.fixed_avg("dq_score", 4, 4).alias("avg_quality_score"))
-    return out.select(
-        F.lit(entity).alias("entity"), "total_records", "passed_records",
-        (n - F.col("passed_records")).alias("failed_records"), "critical_failures",
-        F.coalesce(x.pct("passed_records", n), F.lit(0.0)).alias("pass_rate_pct"),
+    return profiles.select(
+        "entity", "total_records", "passed_records", (n - F.col("passed_records")).alias("failed_records"),
+        "critical_failures", F.coalesce(x.pct("passed_records", n), F.lit(0.0)).alias("pass_rate_pct"),
         F.coalesce("avg_quality_score", F.lit(0.0)).alias("avg_quality_score"),
         F.coalesce((n - F.col("passed_records")) * 10 > n, F.lit(False)).alias("alert"))
 
 
+def summary(df: DataFrame, entity: str, as_of: dt.datetime, checks: list[DQCheck] | None = None) -> DataFrame:
+    """Batch totals in one aggregate pass."""
+    return summary_of(profile(df, entity, as_of, checks))
+
+
 def check_failures(df: DataFrame, entity: str, as_of: dt.datetime, by: str = "check_name",
                    checks: list[DQCheck] | None = None) -> DataFrame:
     """Failures per check (or per ``category``): one counter per check in a single pass, turned into rows afterwards."""
-    checks = check_set(entity, as_of) if checks is None else checks
-    counts = df.agg(*[F.count_if(~c.ok()).alias(f"c{i}") for i, c in enumerate(checks)])
-    rows = counts.select(F.inline(F.array(*[
-        F.struct(F.lit(c.name).alias("check_name"), F.lit(c.category).alias("category"), F.col(f"c{i}").alias("failures"))
-        for i, c in enumerate(checks)]))).filter("failures > 0")
-    return rows.groupBy(F.lit(entity).alias("entity"), by).agg(F.sum("failures").alias("failures"))
+    rows = profile(df, entity, as_of, checks).select("entity", F.inline("check_failures")).filter("failures > 0")
+    return rows.groupBy("entity", by).agg(F.sum("failures").alias("failures"))
 
 
 def top_failures(df: DataFrame, entity: str, as_of: dt.datetime, limit: int = 5) -> DataFrame:
@@ -216,17 +254,36 @@ def metrics(summaries: DataFrame, measured_at: dt.datetime) -> DataFrame:
     return summaries.select(F.lit(measured_at).alias("measured_at"), "entity", F.inline(pairs))
 
 
+def _worst(ordered: Column, worst: int) -> Column:
+    return F.array_join(F.transform(F.slice(ordered, 1, worst), lambda c: F.concat(c["check_name"], F.lit("="), -c["n"])), ", ")
+
+
+def _alert_rows(rows: DataFrame, raised_at: dt.datetime, above_pct: float, worst: Column | None) -> DataFrame:
+    rate = F.format_string("%.1f", 100.0 - F.col("pass_rate_pct"))
+    text = F.concat(F.lit("Failed records: "), "failed_records", F.lit("/"), "total_records", F.lit(" ("), rate, F.lit("%)"))
+    if worst is not None:
+        text = F.concat(text, F.lit("; worst checks: "), F.coalesce(worst, F.lit("")))
+    return rows.filter(F.col("failed_records") * 100 > F.col("total_records") * above_pct).select(
+        F.lit(raised_at).alias("raised_at"), F.lit("dq").alias("source"),
+        F.concat(F.lit("High DQ failure rate: "), "entity").alias("subject"), text.alias("message"))
+
+
 def alerts(summaries: DataFrame, raised_at: dt.datetime, failures: DataFrame | None = None, worst: int = 5,
            above_pct: float = 10.0) -> DataFrame:
     """An alert for each entity of which more than a share of the records fail. With ``failures`` (rows of ``check_failures``, one a check)
     the message names the checks that fail most, the first in alphabetical order where equally often."""
-    rate = F.format_string("%.1f", 100.0 - F.col("pass_rate_pct"))
-    text = F.concat(F.lit("Failed records: "), "failed_records", F.lit("/"), "total_records", F.lit(" ("), rate, F.lit("%)"))
-    rows = summaries.filter(F.col("failed_records") * 100 > F.col("total_records") * above_pct)
-    if failures is not None:
-        ordered = F.sort_array(F.collect_list(F.struct((-F.col("failures")).alias("n"), "check_name")))
-        named = F.transform(F.slice(ordered, 1, worst), lambda c: F.concat(c["check_name"], F.lit("="), -c["n"]))
-        rows = rows.join(failures.groupBy("entity").agg(F.array_join(named, ", ").alias("_worst")), "entity", "left")
-        text = F.concat(text, F.lit("; worst checks: "), F.coalesce("_worst", F.lit("")))
-    return rows.select(F.lit(raised_at).alias("raised_at"), F.lit("dq").alias("source"),
-                       F.concat(F.lit("High DQ failure rate: "), "entity").alias("subject"), text.alias("message"))
+    if failures is None:
+        return _alert_rows(summaries, raised_at, above_pct, None)
+    ordered = F.sort_array(F.collect_list(F.struct((-F.col("failures")).alias("n"), "check_name")))
+    named = failures.groupBy("entity").agg(_worst(ordered, worst).alias("_worst"))
+    return _alert_rows(summaries.join(named, "entity", "left"), raised_at, above_pct, F.col("_worst"))
+
+
+def profile_alerts(profiles: DataFrame, raised_at: dt.datetime, worst: int = 5, above_pct: float = 10.0) -> DataFrame:
+    """``alerts`` with the worst checks, from profiles alone: the records are not read a second time."""
+    counted = F.filter("check_failures", lambda c: c["failures"] > 0)
+    ordered = F.sort_array(F.transform(counted, lambda c: F.struct((-c["failures"]).alias("n"), c["check_name"].alias("check_name"))))
+    named = profiles.select("*", _worst(ordered, worst).alias("_worst"))
+    rows = named.select("*", (F.col("total_records") - F.col("passed_records")).alias("failed_records"),
+                        F.coalesce(x.pct("passed_records", "total_records"), F.lit(0.0)).alias("pass_rate_pct"))
+    return _alert_rows(rows, raised_at, above_pct, F.col("_worst"))

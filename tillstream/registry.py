@@ -685,9 +685,8 @@ def dq_metrics(spark, folder):
 
 @query
 def dq_alerts(spark, folder):
-    parsed = {e: _parsed(spark, folder, e) for e in dq.CHECK_SETS}
-    failures = reduce(DataFrame.unionByName, [dq.check_failures(df, e, AS_OF) for e, df in parsed.items()])
-    return dq.alerts(dq_summary(spark, folder), AS_OF, failures, above_pct=1.0)
+    profiles = [dq.profile(_parsed(spark, folder, e), e, AS_OF) for e in dq.CHECK_SETS]
+    return dq.profile_alerts(reduce(DataFrame.unionByName, profiles), AS_OF, above_pct=1.0)
 
 
 @query

@@ -156,6 +156,8 @@ class Outcome:
     failed: DataFrame
     keys: DataFrame | None
     passed: DataFrame | None = None
+    seen: DataFrame | None = None
+    held: bool = False
 
 
 def process(classified: DataFrame, entity: str, seen: DataFrame | None = None, environment: str = "prod",
@@ -178,7 +180,32 @@ def process(classified: DataFrame, entity: str, seen: DataFrame | None = None, e
         keys = passed.select("key", F.col("arrival_ts").alias("seen_at"),
                              F.to_date("arrival_ts").alias("seen_date"), F.lit(batch_id).cast("long").alias("batch_id"))
     return Outcome(classified, enrich(passed, entity, environment),
-                   dead_letters(classified, entity, environment, batch_id), keys, passed)
+                   dead_letters(classified, entity, environment, batch_id), keys, passed, seen, hold is not None)
+
+
+def _counted_once(outcome: Outcome, entity: str) -> DataFrame:
+    """Counts of a deduplicated batch from one pass: rows a key, of which the first is accepted where the key is not seen.
+
+    Failed records are one group. Partial counts leave the map tasks, so neither they nor a hot key weigh on the shuffle.
+    """
+    failed = F.col("reason").isNotNull()
+    rows = outcome.classified.select(
+        failed.alias("bad"), F.when(~failed, F.col(f"rec.{DEDUP_KEYS[entity]}")).alias("key"), "arrival_ts", "payload",
+        (F.size(fraud_signals("rec.")) > 0 if entity == "payments" else F.lit(False)).alias("flagged"))
+    n, fraud = F.count(F.lit(1)).alias("n"), F.lit(False)
+    if entity == "payments":
+        # a key is flagged if its first record is
+        fraud = F.min(F.struct("arrival_ts", "payload", "flagged"))["flagged"]
+    keys = rows.groupBy("bad", "key").agg(n, fraud.alias("flagged"))
+    if outcome.seen is not None:
+        known = outcome.seen.select("key", F.lit(True).alias("known")).distinct()
+        keys = keys.join(known, "key", "left")
+    else:
+        keys = keys.withColumn("known", F.lit(None).cast("boolean"))
+    new = ~F.col("bad") & F.col("known").isNull()
+    total = F.coalesce(F.sum("n"), F.lit(0)).alias("total")
+    return keys.agg(total, F.coalesce(F.sum(F.when(F.col("bad"), F.col("n"))), F.lit(0)).alias("failed"),
+                    F.count_if(new).alias("valid"), F.count_if(new & F.col("flagged")).alias("fraud"))
 
 
 def batch_summary(outcome: Outcome, entity: str, batch_id: int = 0) -> DataFrame:
@@ -190,13 +217,16 @@ def batch_summary(outcome: Outcome, entity: str, batch_id: int = 0) -> DataFrame
         passed = F.col("reason").isNull()
         gone = F.count_if(passed & (F.col("rec.action") == "cart_abandoned")) if entity == "carts" else zero
         s = outcome.classified.agg(total, failed, F.count_if(passed).alias("valid"), gone.alias("gone")).withColumn("fraud", zero)
-    else:
+    elif outcome.held:
+        # the accepted records are at hand
         fraud = F.count_if("is_fraud_flagged") if entity == "payments" else zero
         seen = outcome.classified.agg(total, failed).select("total", "failed", zero.alias("valid"), zero.alias("fraud"))
         kept = outcome.accepted.agg(F.count(F.lit(1)).alias("valid"), fraud.alias("fraud")).select(
             zero.alias("total"), zero.alias("failed"), "valid", "fraud")
         s = seen.unionByName(kept).agg(*[F.sum(c).alias(c) for c in ("total", "failed", "valid", "fraud")]).withColumn(
             "gone", zero)
+    else:
+        s = _counted_once(outcome, entity).withColumn("gone", zero)
     return s.select(
         F.lit(entity).alias("stream"), F.lit(batch_id).cast("long").alias("batch_id"),
         F.col("total").alias("total_records"), F.col("valid").alias("valid_records"),
