@@ -17,6 +17,7 @@ from tillstream.functions import domains as d
 from tillstream.functions import exprs as x
 from tillstream.functions.schemas import WIRE
 from tillstream.operators.rows import first_per_key
+from tillstream.streaming import keyed
 
 ENTITIES = ("orders", "payments", "clickstream", "carts")
 DEDUP_KEYS = {"orders": "order_id", "payments": "payment_id"}
@@ -183,6 +184,31 @@ def process(classified: DataFrame, entity: str, seen: DataFrame | None = None, e
                    dead_letters(classified, entity, environment, batch_id), keys, passed, seen, hold is not None)
 
 
+def split_keyed(rows: DataFrame, entity: str, environment: str = "prod", batch_id: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Accepted records, dead letters and summary of a trigger's rows of ``keyed_rows``."""
+    good = F.col("reason").isNull()
+    won = rows.filter(good & F.col("duplicates").isNull())
+    again = decode(won.select(F.base64(F.col("payload").cast("binary")).alias("data"), "arrival_ts"), entity)
+    accepted, zero = enrich(again, entity, environment), F.lit(0).cast("long")
+    valid, failed = F.count_if(good & F.col("duplicates").isNull()), F.count_if(~good)
+    counts = rows.agg((valid + failed + F.coalesce(F.sum("duplicates"), zero)).alias("total"), failed.alias("failed"),
+                      valid.alias("valid"), zero.alias("fraud"))
+    if entity == "payments":
+        counts = counts.withColumn("fraud", accepted.agg(F.count_if("is_fraud_flagged")).scalar())
+    return accepted, dead_letters(rows, entity, environment, batch_id), summary_row(
+        counts.withColumn("gone", zero), entity, batch_id)
+
+
+def keyed_rows(stream: DataFrame, entity: str) -> DataFrame:
+    """A stream of (data, arrival_ts), validated, its keys' first records found by keyed state: accepted rows, numbers of
+    duplicates, and failed rows with their reason."""
+    classified = classify(stream, entity)
+    passed = classified.filter(F.col("reason").isNull()).select(
+        F.col(f"rec.{DEDUP_KEYS[entity]}").alias("key"), "arrival_ts", "payload")
+    failed = classified.filter(F.col("reason").isNotNull()).select("payload", "data", "arrival_ts", "reason")
+    return keyed.first_wins(passed, DEDUP_TTL).unionByName(failed, allowMissingColumns=True)
+
+
 def _counted_once(outcome: Outcome, entity: str) -> DataFrame:
     """Counts of a deduplicated batch from one pass: rows a key, of which the first is accepted where the key is not seen.
 
@@ -227,7 +253,12 @@ def batch_summary(outcome: Outcome, entity: str, batch_id: int = 0) -> DataFrame
             "gone", zero)
     else:
         s = _counted_once(outcome, entity).withColumn("gone", zero)
-    return s.select(
+    return summary_row(s, entity, batch_id)
+
+
+def summary_row(counts: DataFrame, entity: str, batch_id: int = 0) -> DataFrame:
+    """The summary of a batch from its total, valid, failed, fraud and gone counts."""
+    return counts.select(
         F.lit(entity).alias("stream"), F.lit(batch_id).cast("long").alias("batch_id"),
         F.col("total").alias("total_records"), F.col("valid").alias("valid_records"),
         F.col("failed").alias("failed_records"),
