@@ -688,6 +688,36 @@ add("ingestion_lag", f"""
 SELECT date_trunc('day', event_timestamp)::TIMESTAMP AS window_start, count(*) AS records, {r(f'quantile_cont({_LAG}, 0.5)', 6)} AS lag_p50,
        {r(f'quantile_cont({_LAG}, 0.95)', 6)} AS lag_p95, max({_LAG}) AS lag_max
 FROM judged WHERE reason IS NULL GROUP BY 1""", judged=_judged("clickstream", True))
+
+
+def _bucket(units: str) -> str:
+    """64 buckets a doubling, one a value below 64; the numbers here are not negative."""
+    return (f"CASE WHEN {units} < 64 THEN {units} ELSE 64 * (length(bin({units})) - 7) "
+            f"+ ({units} >> CAST(greatest(length(bin({units})) - 7, 0) AS BIGINT)) END")
+
+
+def _middle(code: str, one: float) -> str:
+    wide = f"pow(2.0::DOUBLE, {code} // 64 - 1)"
+    return f"CAST(CASE WHEN {code} < 64 THEN {code} ELSE ({code} % 64 + 64) * {wide} + ({wide} - 1) / 2 END AS DOUBLE) / {one!r}::DOUBLE"
+
+
+def _quantiles(rows: str, keys: str, names: dict[str, float], one: float, count: str) -> str:
+    """The bucket at place floor(p * (n - 1)) of the ordered rows."""
+    found = ", ".join(f"{_middle(f'min(b) FILTER (WHERE i = floor({p}::DOUBLE * (n - 1)))', one)} AS {name}" for name, p in names.items())
+    return f"""
+SELECT {keys}, CAST(max(n) AS BIGINT) AS {count}, {found}
+FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY b) - 1 AS i, count(*) OVER (PARTITION BY {keys}) AS n
+      FROM (SELECT *, {_bucket('u')} AS b FROM ({rows})))
+GROUP BY {keys}"""
+
+
+add("order_value_quantiles", _quantiles(
+    f"SELECT *, CAST(round(total_amount * 100) AS BIGINT) AS u FROM silver_orders WHERE {DONE} AND total_amount IS NOT NULL",
+    "year, month, customer_segment, country", {"aov_p25": 0.25, "aov_median": 0.5, "aov_p75": 0.75, "aov_p95": 0.95}, 100.0, "orders"))
+add("ingestion_lag_merged", _quantiles(
+    f"SELECT date_trunc('day', event_timestamp)::TIMESTAMP AS window_start, CAST(date_diff('microsecond', event_timestamp, {_STAMP}) AS BIGINT) AS u "
+    "FROM judged WHERE reason IS NULL", "window_start", {"lag_p50": 0.5, "lag_p95": 0.95}, 1000000.0, "records"),
+    judged=_judged("clickstream", True))
 _T = f"(CASE WHEN {_BAD_TIME} THEN {_STAMP} ELSE event_timestamp END)"
 add("ingest_carts", f"""
 SELECT event_id, CASE WHEN e % 83 <> 0 THEN user_id END AS user_id, action, {r('unit_price * quantity', 2)} AS cart_value,

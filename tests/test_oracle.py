@@ -29,7 +29,7 @@ def test_matches_sql(spark, con, folder, name):
 
 def test_every_sql_has_a_query():
     assert set(oracle_sql()) <= set(queries())
-    assert set(QUERIES) - set(oracle_sql()) == {"aov_by_segment_approx", "dq_monitor_approx", "ingestion_lag_approx"}
+    assert set(QUERIES) - set(oracle_sql()) == {"aov_by_segment_approx", "dq_monitor_approx", "ingestion_lag_approx", "monthly_active_users"}
 
 
 def test_entry_is_lazy_and_has_rows(spark):

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.functions import exprs as x
-from tillstream.operators import gold
+from tillstream.operators import gold, sketches
 from tillstream.operators.ranking import with_rank
 
 DAY = ("year", "month", "day")
@@ -34,26 +34,30 @@ class Rollup:
     sums: tuple[str, ...] = ()  # of whole numbers
     least: tuple[str, ...] = ()
     most: tuple[str, ...] = ()
+    distinct: tuple[str, ...] = ()  # values to count, kept as sketches: they merge, but no partial can be taken out
 
     @property
     def values(self) -> list[str]:
-        return [ROWS, *self.sums, *self.least, *self.most]
+        return [ROWS, *self.sums, *self.least, *self.most, *self.distinct]
 
     def partials(self, rows: DataFrame, by: tuple[str, ...] = DAY) -> DataFrame:
         """One row for each key and day."""
         return rows.groupBy(*by, *self.keys).agg(
             F.count(F.lit(1)).alias(ROWS), *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in self.sums],
-            *[F.min(n).alias(n) for n in self.least], *[F.max(n).alias(n) for n in self.most])
+            *[F.min(n).alias(n) for n in self.least], *[F.max(n).alias(n) for n in self.most],
+            *[sketches.distinct_state(n).alias(n) for n in self.distinct])
 
     def totals(self, partials: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
         """Partials merged into one row for each key (and ``by``)."""
         return partials.groupBy(*by, *self.keys).agg(
             *[F.sum(n).alias(n) for n in (ROWS, *self.sums)], *[F.min(n).alias(n) for n in self.least],
-            *[F.max(n).alias(n) for n in self.most])
+            *[F.max(n).alias(n) for n in self.most], *[sketches.merged_state(n).alias(n) for n in self.distinct])
 
     def applied(self, totals: DataFrame, old: DataFrame, new: DataFrame) -> DataFrame:
         """``totals`` after the partials ``old`` were replaced by ``new``, and whether a key is lost. One shuffle, combined in the
         map tasks; the sums of lost keys are right, their extremes are not."""
+        if self.distinct:
+            raise ValueError("Sketches take no deltas: merge the partials of the range instead")
         sources = {"total": (totals, 1), "old": (old, -1), "new": (new, 1)}
         tagged = [df.select(*self.keys, *[(F.col(n) * sign).alias(n) for n in (ROWS, *self.sums)], *self.least, *self.most,
                             F.lit(tag).alias("_tag")) for tag, (df, sign) in sources.items()]
@@ -86,6 +90,11 @@ DEVICES = Rollup(("device_type", "device_os", "browser"))
 SALES = Rollup(PRODUCTS.keys, ("orders", "quantities", "quantity", "paid_n", "paid", "prices", "price", "discounts", "discount"))
 
 
+ORDER_VALUES = Rollup(("customer_segment", "country", "bucket"))
+ACTIVE = Rollup(("device_type",), distinct=("user_id", "session_id"))
+QUARTILES = {"aov_p25": 0.25, "aov_median": 0.5, "aov_p75": 0.75, "aov_p95": 0.95}
+
+
 def user_rows(orders: DataFrame, clicks: DataFrame) -> DataFrame:
     columns = [*DAY, "user_id", *_SEEN, "event_timestamp", "event_id"]
     seen = orders.select(*columns, "is_prime").unionByName(clicks.select(*columns), allowMissingColumns=True)
@@ -145,6 +154,31 @@ def agg_product_performance(partials: DataFrame, run_ts: dt.datetime | None = No
     return ranked.select(*out.columns, "revenue_rank", *gold._audit("processed_at", run_ts))
 
 
+def order_value_rows(orders: DataFrame) -> DataFrame:
+    cents = x.units("total_amount")
+    return orders.filter(x.is_completed() & cents.isNotNull()).select(
+        *DAY, "customer_segment", "country", sketches.bucket(cents).alias("bucket"))
+
+
+def agg_order_values(partials: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
+    """Quantiles of completed orders by month, segment and country, from daily counts of value buckets."""
+    keys = ["year", "month", "customer_segment", "country"]
+    out = sketches.quantiles(partials, keys, QUARTILES, n=ROWS).withColumnRenamed("n", "orders")
+    return out.select("*", *gold._audit("processed_at", run_ts))
+
+
+def active_rows(orders: DataFrame, clicks: DataFrame) -> DataFrame:
+    columns = [*DAY, "device_type", "user_id", "session_id"]
+    return orders.select(*columns).unionByName(clicks.select(*columns))
+
+
+def agg_active_users(partials: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
+    """Events, and users and sessions about, by month and device, from daily sketches."""
+    return ACTIVE.totals(partials, ("year", "month")).select(
+        "year", "month", "device_type", F.col(ROWS).alias("events"), sketches.distinct("user_id").alias("approx_users"),
+        sketches.distinct("session_id").alias("approx_sessions"), *gold._audit("processed_at", run_ts))
+
+
 @dataclass(frozen=True)
 class Kept:
     """A rollup of silver tables: their rows, and the gold table made of the totals."""
@@ -160,4 +194,6 @@ KEPT = {
     "dim_products": Kept(PRODUCTS, ("orders",), product_rows, dim_products),
     "dim_devices": Kept(DEVICES, ("orders",), lambda orders: orders, dim_devices),
     "agg_product_performance": Kept(SALES, ("orders",), sale_rows, agg_product_performance, monthly=True),
+    "agg_order_values": Kept(ORDER_VALUES, ("orders",), order_value_rows, agg_order_values, monthly=True),
+    "agg_active_users": Kept(ACTIVE, ("orders", "clickstream"), active_rows, agg_active_users, monthly=True),
 }

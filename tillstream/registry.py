@@ -189,6 +189,20 @@ def product_performance_by_state(spark, folder):
     return rollups.agg_product_performance(rollups.SALES.partials(rollups.sale_rows(rt.silver_orders_ev(spark, folder))))
 
 
+@query
+def order_value_quantiles(spark, folder):
+    """Months of all orders, made of daily bucket counts."""
+    days = rollups.ORDER_VALUES.partials(rollups.order_value_rows(rt.silver_orders(spark, folder, with_items=False)))
+    return rollups.agg_order_values(days)
+
+
+@query
+def monthly_active_users(spark, folder):
+    """Months made of daily sketches."""
+    rows = rollups.active_rows(rt.silver_orders_ev(spark, folder), rt.silver_clickstream(spark, folder))
+    return rollups.agg_active_users(rollups.ACTIVE.partials(rows))
+
+
 @query
 def dim_time(spark, folder):
     return gold.dim_time_of(rt.table(spark, folder, "orders"), "o_orderdate")
@@ -789,6 +803,14 @@ def ingestion_lag_approx(spark, folder):
     return windows.ingestion_lag(clicks.withColumn("event_timestamp", F.try_to_timestamp("event_timestamp")), "1 day")
 
 
+@query
+def ingestion_lag_merged(spark, folder):
+    """Days made of five-minute histograms."""
+    clicks = _outcome(spark, folder, "clickstream").accepted
+    stamped = clicks.withColumn("event_timestamp", F.try_to_timestamp("event_timestamp"))
+    return windows.lag_quantiles(windows.lag_histogram(stamped))
+
+
 @query
 def dq_pass_rate_series(spark, folder):
     """By arrival, when records are checked: those without a readable event time count too."""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.functions import exprs as x
+from tillstream.operators import sketches
 from tillstream.operators.ranking import exact_percentiles
 
 
@@ -47,6 +48,24 @@ def pass_rate_series(validated: DataFrame, entity: str, ts: str, size: str = "5
              x.pct("passed", "records").alias("pass_rate_pct"), "critical_failures", "avg_quality_score")
 
 
+def _lag_us(df: DataFrame) -> DataFrame:
+    return df.withColumn("lag_us", F.unix_micros("ingestion_timestamp") - F.unix_micros("event_timestamp"))
+
+
+def lag_histogram(accepted: DataFrame, size: str = "5 minutes", watermark: str | None = None) -> DataFrame:
+    """Counts of lag buckets by window of the event time: what a stream keeps and stores. Windows merge into longer ones."""
+    rows = _lag_us(_late(accepted, "event_timestamp", watermark))
+    out = sketches.histogram(rows, [F.window("event_timestamp", size)], F.col("lag_us"))
+    return out.select(F.col("window.start").alias("window_start"), "bucket", "n")
+
+
+def lag_quantiles(histogram: DataFrame, unit: str = "day") -> DataFrame:
+    """Median and 95th percentile of the lag in seconds for each hour, day, month, ... from windows' histograms."""
+    longer = histogram.withColumn("window_start", F.date_trunc(unit, "window_start"))
+    out = sketches.quantiles(longer, ["window_start"], {"lag_p50": 0.5, "lag_p95": 0.95}, scale=6)
+    return out.withColumnRenamed("n", "records")
+
+
 def ingestion_lag(accepted: DataFrame, size: str = "5 minutes", watermark: str | None = None,
                   exact: bool = False) -> DataFrame:
     """Seconds from event to arrival per window of the event time: percentiles and maximum.
