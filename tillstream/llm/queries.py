@@ -115,7 +115,51 @@ QUERIES = {
     "op13_periodic": periodic,
 }
 
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_WORD = r"'[^\x20\x09-\x0D]+'"
+_LETTERS = r"'[\p{L}\p{N}]+'"
+
+
+def _runs(w: str, n: str) -> str:
+    """Every run of ``n`` words of a list, joined by a space, which no word holds."""
+    return f"list_transform(range(1, len({w}) - {n} + 2), lambda i: array_to_string({w}[i:i + {n} - 1], ' '))"
+
+
+# plain definitions, for ids that are unique as in the given tables
 SQL: dict[str, str] = {
+    "op4_decontaminate": f"""
+        WITH items AS (SELECT DISTINCT item_id, regexp_extract_all(lower(text), {_LETTERS}) AS w FROM benchmark),
+             sized AS (SELECT *, least(len(w), 5) AS n FROM items WHERE len(w) > 0),
+             sets AS (SELECT item_id, w, n, list_distinct({_runs('w', 'n')}) AS s FROM sized),
+             wanted AS (SELECT item_id, w, n, len(s) AS n_item, unnest(s) AS g FROM sets),
+             docs AS (SELECT doc_id, regexp_extract_all(lower(text), {_LETTERS}) AS w FROM documents),
+             grams AS (SELECT doc_id, n, unnest(list_distinct({_runs('w', 'n')})) AS g
+                       FROM docs, (SELECT DISTINCT n FROM sized))
+        SELECT doc_id, item_id, CAST(n_item AS INTEGER) AS n_item, CAST(count(*) AS INTEGER) AS n_common
+        FROM grams JOIN wanted USING (n, g) GROUP BY doc_id, item_id, w, n_item HAVING 100 * count(*) >= 80 * n_item""",
+    "op8_jaccard": f"""
+        WITH RECURSIVE
+             own AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), {_WORD}) AS w FROM documents),
+             sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                             ELSE list_distinct({_runs('w', '3')}) END AS s FROM own),
+             grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+             links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+                       GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+             reach AS (SELECT doc_id AS d, doc_id AS c FROM sets
+                       UNION SELECT reach.d, links.b FROM reach JOIN links ON reach.c = links.a)
+        SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, (SELECT min(c) FROM reach WHERE d = doc_id) AS component_id
+        FROM sets""",
+    "op10_substring": f"""
+        WITH own AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) AS w FROM documents),
+             wins AS (SELECT doc_id, unnest(range(1, len(w) - 18)) AS place, unnest({_runs('w', '20')}) AS win FROM own),
+             nth AS (SELECT doc_id, place, row_number() OVER (PARTITION BY win ORDER BY doc_id, place) AS n FROM wins),
+             gone AS (SELECT DISTINCT doc_id, unnest(range(place, place + 20)) AS j FROM nth WHERE n > 1),
+             spread AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM own),
+             rest AS (SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS kept, count(*) AS n
+                      FROM spread ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM own LEFT JOIN rest USING (doc_id)""",
     "op12_exact": """
         WITH own AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
                      AS same FROM documents)
