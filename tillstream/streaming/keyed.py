@@ -8,6 +8,8 @@ The watermark follows the arrivals at a distance of one life. A key is forgotten
 accepted record, so the state holds keys of three lives at most, whatever the age of the stream. Records that arrive more than a
 life behind the newest one are not processed; the query's progress counts them (``numRowsDroppedByWatermark``).
 
+The functions run in Python workers, so executors need this package (``--py-files``).
+
 Defined results: null keys are one key, a null payload is an empty one, empty triggers give no rows, equal records (key, arrival and
 payload) are copies of one. Arrivals are the source's own times and never null.
 """
