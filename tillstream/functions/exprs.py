@@ -44,6 +44,11 @@ def fixed_avg(col, digits: int = 2, scale: int = 2) -> Column:
     return rnd(fixed_sum(col, scale) / F.nullif(F.count(col), F.lit(0)), digits)
 
 
+def fixed_avg_of(total, n, digits: int = 2, scale: int = 2) -> Column:
+    """``fixed_avg`` of a sum in whole units and the number of its values."""
+    return rnd(_c(total) / F.lit(float(10 ** scale)) / F.nullif(_c(n), F.lit(0)), digits)
+
+
 def int_avg(col, digits: int) -> Column:
     col = _c(col)
     return rnd(F.sum(col) / F.nullif(F.count(col), F.lit(0)), digits)

@@ -137,7 +137,7 @@ def dim_users(spark, folder):
 
 @query
 def dim_products(spark, folder):
-    return gold.dim_products(_sales(spark, folder), rt.order_items(spark, folder))
+    return gold.dim_products(_sales(spark, folder), rt.order_lines(spark, folder), products=rt.products(spark, folder))
 
 
 @query
@@ -220,7 +220,7 @@ def daily_revenue(spark, folder):
 
 @query
 def product_performance(spark, folder):
-    return gold.agg_product_performance(_sales(spark, folder), rt.order_items(spark, folder))
+    return gold.agg_product_performance(_sales(spark, folder), rt.order_lines(spark, folder), products=rt.products(spark, folder))
 
 
 @query

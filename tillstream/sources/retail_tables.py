@@ -122,17 +122,38 @@ def item_rollup(spark: SparkSession, folder: str) -> DataFrame:
         "order_id", "item_count", "distinct_products", "primary_category")
 
 
+LINE_SOURCE = ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount"]
+
+
+def _line_values() -> list[Column]:
+    unit = _cents(F.col("l_extendedprice") / F.col("l_quantity"))
+    return [F.col("l_quantity").cast("int").alias("quantity"), unit.alias("unit_price"),
+            F.floor(F.col("l_discount") * 100 + 0.5).cast("double").alias("discount_pct"),
+            _cents(unit * (1 - F.col("l_discount"))).alias("final_price")]
+
+
 def order_items(spark: SparkSession, folder: str) -> DataFrame:
     """One row per order item."""
-    li = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount")
+    li = table(spark, folder, "lineitem").select(*LINE_SOURCE)
     p = table(spark, folder, "part").select("p_partkey", "p_name", "p_type", "p_brand")
-    unit = _cents(F.col("l_extendedprice") / F.col("l_quantity"))
     return li.join(p, li.l_partkey == p.p_partkey).select(
         _id("ORD-", F.col("l_orderkey")).alias("order_id"), _id("PRD-", F.col("p_partkey")).alias("product_id"),
         F.col("p_name").alias("product_name"), F.col("p_type").alias("category"), F.col("p_brand").alias("brand"),
-        F.col("l_quantity").cast("int").alias("quantity"), unit.alias("unit_price"),
-        F.floor(F.col("l_discount") * 100 + 0.5).cast("double").alias("discount_pct"),
-        _cents(unit * (1 - F.col("l_discount"))).alias("final_price"))
+        *_line_values())
+
+
+def order_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The order items with no more of the product than its id; ``products`` has the rest."""
+    li = table(spark, folder, "lineitem").select(*LINE_SOURCE).filter(F.col("l_partkey").isNotNull())
+    return li.select(_id("ORD-", F.col("l_orderkey")).alias("order_id"), _id("PRD-", F.col("l_partkey")).alias("product_id"),
+                     *_line_values())
+
+
+def products(spark: SparkSession, folder: str) -> DataFrame:
+    """What ``order_items`` says of a product, one row per row of the part table."""
+    return table(spark, folder, "part").filter(F.col("p_partkey").isNotNull()).select(
+        _id("PRD-", F.col("p_partkey")).alias("product_id"), F.col("p_name").alias("product_name"),
+        F.col("p_type").alias("category"), F.col("p_brand").alias("brand"))
 
 
 def catalog_size(spark: SparkSession, folder: str) -> Column:
