@@ -450,12 +450,12 @@ def merge_dim_users(spark, folder):
 
 @query
 def merge_dim_products(spark, folder):
-    sales, items = _sales(spark, folder), rt.order_items(spark, folder)
+    sales, lines, products = _sales(spark, folder), rt.order_lines(spark, folder), rt.products(spark, folder)
     early = sales.filter(F.col("event_timestamp") < F.lit(USERS_LOADED))
     stamp = F.lit(USERS_LOADED)
-    old = gold.dim_products(early, items).withColumnRenamed("dim_product_sk", "product_sk").withColumns(
+    old = gold.dim_products(early, lines, products=products).withColumnRenamed("dim_product_sk", "product_sk").withColumns(
         {"created_at": stamp, "updated_at": stamp})
-    return merge.merge_dim_products(old, gold.dim_products(sales, items), ORDERS_AS_OF)
+    return merge.merge_dim_products(old, gold.dim_products(sales, lines, products=products), ORDERS_AS_OF)
 
 
 # ---- dashboards ----------------------------------------------------------------------------
