@@ -255,7 +255,8 @@ def top_products(spark, folder):
 
 @query
 def top_products_calendar(spark, folder):
-    return lake.top_products(_sales(spark, folder), ORDERS_AS_OF, rt.order_items(spark, folder), calendar_predicate=True)
+    return lake.top_products(_sales(spark, folder), ORDERS_AS_OF, rt.order_lines(spark, folder), calendar_predicate=True,
+                             products=rt.products(spark, folder))
 
 
 @query
