@@ -50,7 +50,7 @@ def joined_columns(plan):
         yield from joined_columns(plan.children().apply(i))
 
 
-@pytest.mark.parametrize("name", ["dim_products", "merge_dim_products", "product_performance", "top_products_calendar"])
+@pytest.mark.parametrize("name", ["dim_products", "merge_dim_products", "product_performance", "top_products_calendar", "top_products_20"])
 def test_products_are_joined_to_sums_with_equal_results(spark, shop, name):
     got = registry.QUERIES[name](spark, shop)
     joined = list(joined_columns(got._jdf.queryExecution().optimizedPlan()))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstream.functions import exprs as x
-from tillstream.operators.gold import item_rows
+from tillstream.operators.gold import by_product, item_rows
 from tillstream.operators.rows import join_on, transitions
 from tillstream.plans import lake
 
@@ -201,10 +201,13 @@ def _item_revenue() -> Column:
     return F.sum(x.units("final_price") * F.col("quantity")) / 100.0
 
 
-def best_products(orders: DataFrame, items: DataFrame | None = None, limit: int = 20) -> DataFrame:
+def best_products(orders: DataFrame, items: DataFrame | None = None, limit: int = 20,
+                  products: DataFrame | None = None) -> DataFrame:
     rows = item_rows(orders.filter(x.is_completed()), items, ["order_id"])
-    return rows.groupBy("product_id", "product_name", "category").agg(
-        _item_revenue().alias("revenue"), F.sum("quantity").alias("units")).orderBy(
+    keys = ["product_id", "product_name", "category"]
+    sums = by_product(rows, products, keys, {"_revenue": (F.sum(x.units("final_price") * F.col("quantity")), F.sum),
+                                             "units": (F.sum("quantity"), F.sum)})
+    return sums.select(*keys, (F.col("_revenue") / 100.0).alias("revenue"), "units").orderBy(
         F.col("revenue").desc(), "product_id").limit(limit)
 
 

@@ -582,7 +582,7 @@ def new_vs_returning(spark, folder):
 
 @query
 def top_products_20(spark, folder):
-    return dashboards.best_products(_sales(spark, folder), rt.order_items(spark, folder), 20)
+    return dashboards.best_products(_sales(spark, folder), rt.order_lines(spark, folder), 20, rt.products(spark, folder))
 
 
 @query
