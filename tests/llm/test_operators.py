@@ -402,3 +402,67 @@ def test_profiles_never_rule_out_similar_sets():
                 if 100 * both >= percent * (n[i] + n[j] - both):
                     assert root[i] == root[j]
         assert len({root[i] for i in range(len(sets))}) >= len(base)
+
+
+def test_index_lists_do_not_grow_with_unrelated_sets():
+    """Unrelated sets share no entry, not even that of an empty block; similar ones share one, and as many as their slack says."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    new = lambda n: rng.integers(0, 2 ** 63, n, dtype=np.uint64)
+    for percent in (80, 90):
+        for n in (12, 40, 150, 600, 3000):
+            entries = np.concatenate([op8_jaccard.signatures(np.unique(new(n)), percent) for _ in range(300)])
+            assert len(np.unique(entries)) == len(entries)
+        for n in (4, 5, 9, 10, 21, 57, 58, 113, 500, 2000):
+            for _ in range(40):
+                a, most = new(n), op8_jaccard.differing(n, percent)
+                gone = int(rng.integers(0, most // 2 + 1))
+                b = np.concatenate([a[gone:], new(int(rng.integers(0, most - 2 * gone + 1)) + gone)])
+                pair = sorted((np.unique(a), np.unique(b)), key=len)
+                both = len(np.intersect1d(*pair))
+                if 100 * both < percent * (len(pair[0]) + len(pair[1]) - both):
+                    continue
+                shared = np.intersect1d(*(op8_jaccard.signatures(x, percent) for x in pair)) % np.uint64(op8_jaccard.WINDOWS)
+                windows = [{s % op8_jaccard.WINDOWS: s // op8_jaccard.WINDOWS for s in op8_jaccard.slacks(x, percent)} for x in pair]
+                least = [i for i, (low, high) in enumerate(zip(op8_jaccard.windows(n, percent), op8_jaccard.windows(n, percent)[1:]))
+                         if low <= len(pair[0]) < high]
+                for w in (i % op8_jaccard.WINDOWS for i in least):
+                    assert (shared == w).sum() >= max(1, *(x[w] for x in windows))
+
+
+def test_long_lists_link_what_is_similar_alone(spark, monkeypatch):
+    """A passage in all texts makes lists of all of them: texts leave these, their near copies are found all the same, and
+    large clusters of near copies stay whole."""
+    import numpy as np
+
+    ship(spark)
+    monkeypatch.setattr(op8_jaccard, "COMMON", 6)
+    monkeypatch.setattr(op8_jaccard, "BIG", 8)
+    monkeypatch.setattr(op8_jaccard, "BUCKET", 500)
+    rng = np.random.default_rng(6)
+    passage = " ".join(f"common{i}" for i in range(30))
+    texts = []
+    for i in range(40):
+        own = [f"t{i}w{k}" for k in range(int(rng.integers(60, 200)))]
+        texts.append(" ".join(own) + " " + passage)
+        if i % 3 == 0:
+            texts.append(" ".join("new" if k == 9 else x for k, x in enumerate(own)) + " " + passage)
+    texts += [" ".join("edit" if k == 5 + 3 * c else f"m{k}" for k in range(150)) for c in range(30)]
+    texts += [passage, passage + " x", passage + " x y", "q r s t u v w x", "q r s t u v w x y"] * 2
+    sets = [frozenset(tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))) for w in (t.split() for t in texts)]
+    least = list(range(len(sets)))
+    for _ in range(3):
+        for a, x in enumerate(sets):
+            for b, y in enumerate(sets):
+                if 100 * len(x & y) >= 80 * len(x | y):
+                    least[a] = least[b] = min(least[a], least[b])
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    numbered = op8_jaccard.numbered(table, "doc_id", F.col("text"))
+    assert rows(op8_jaccard.joined(numbered, 5, 80)) == sorted(((i, len(s), least[i]) for i, s in enumerate(sets)), key=repr)
+    every = op8_jaccard.sets(numbered, 5, 80).cache()
+    of = {r.k1: r.doc for r in every.collect()}
+    linked = {(of[r.u], of[r.v]) for r in op8_jaccard.candidates(numbered, every, 5, 80).collect()}
+    every.unpersist()
+    unrelated = [p for p in linked if least[p[0]] != least[p[1]]]
+    assert not unrelated, (unrelated, len(linked))

@@ -3,15 +3,20 @@
 The result is the connected components of "Jaccard similarity of at least ``percent``"; equal sets count as one set.
 
 Index lists, skipped by block: two similar sets of sizes a <= b differ in at most (a + b)(100 - p)/(100 + p) shingles. A
-set's shingles are dealt by hash to one position block more than that (and SPARE more), so two similar sets agree on
-a whole block. The index is on whole blocks - (size window, block position, hash of the block's shingles) - and everything
-that agrees on no block, which is most that merely shares common shingles, is skipped unseen. Entries go through one shuffle,
-and those of one set alone end there. Lists of the same sets are one list.
+set's shingles are dealt by hash to block positions, so many that nearly always more of them have shingles than may differ;
+then two similar sets agree on a whole block that is not empty. (Sets of which that is not so index empty blocks too.) The index
+is on whole blocks - (size window, block position, hash of the block's shingles) - and everything that agrees on no block, which
+is most that merely shares common shingles, is skipped unseen. Entries go through one shuffle, 16 bytes each, packed by bucket,
+and are written nowhere; those of one set alone end there. Lists of the same sets are one list.
+
+Long lists are made by passages that many texts have. Two similar sets agree on more than one block: a set of which fewer blocks
+are in long lists (over COMMON sets) leaves these, as it meets every similar set in a shorter one.
 
 Lists are then refined: a set's profile counts its shingles by hash in about half to a quarter as many buckets as it has
 shingles. Two sets differ in at least as many shingles as their profiles do in counts, so pairs whose profiles differ too
 much cannot be similar, and unrelated texts that share a passage, and by it a block, part here. What is left of a list is
-linked up (a tree, not all pairs). Lists of more than BIG sets, which nearly always are copies, are linked up unrefined.
+linked up (a tree, not all pairs). Lists that more than BIG sets cannot leave, which nearly always are copies, are linked up
+unrefined.
 
 Answers derived from a similar set: sets linked by lists form a family. Each member is compared once with the
 family's pivot, and kept as its difference from it. The pivot's answer follows at once, and the overlap of any two members
@@ -27,6 +32,8 @@ columns asked for are read.
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,11 +48,16 @@ from tillstream.llm.scratch import discard, written
 SIZE = 3
 PERCENT = 90
 SPARE = 2
+DEVIATIONS = 4  # by which a set's empty blocks may be more than expected
 GROWTH = 1.4  # of the size windows
 BLOCK = 512  # members (or that many times BLOCK_DIFFERENCES differing shingles) that are compared at a time
 BLOCK_DIFFERENCES = 512
 BATCH = 1 << 17
 BIG = 4096  # sets of a list that are compared by profile, in one task
+COMMON = 512  # sets of a list that others can do without
+WINDOWS = 16  # size windows that an entry tells apart; more than a set has
+PACK = 1 << 20  # entries that a task packs at a time
+BUCKET = 1 << 19  # shingles in all, for each bucket of the index
 U64 = np.uint64
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -71,26 +83,54 @@ def differing(smaller: int, percent: int) -> int:
     return smaller * (100 - percent) // percent
 
 
-def signatures(grams: np.ndarray, percent: int) -> np.ndarray:
-    """The set's entries in the index: those of the window of its size, as a smaller partner, and of the window below
-    where it can be a larger partner there."""
-    n, out = len(grams), []
+@functools.cache
+def positions(low: int, high: int, percent: int) -> int:
+    """Block positions of the size window: so many that in nearly every set more of them have shingles than may differ."""
+    out = differing(high - 1, percent) + 1 + SPARE
+    for n in (low, high - 1):
+        while True:
+            empty = math.exp(-n / out)
+            spread = math.sqrt(out * empty * (1 - (1 + n / out) * empty))
+            if out * (1 - empty) - DEVIATIONS * spread > differing(n, percent):
+                break
+            out += max(1, out >> 10)
+    return out
+
+
+def dealt(grams: np.ndarray, percent: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, int]]:
+    """(window, its first size, block of each shingle, blocks to index, slack): of the window of the set's size, where it is
+    a smaller partner, and of the window below where it can be a larger one. A similar set of the same window agrees on
+    ``slack`` of the set's blocks or more, and indexes them too."""
+    n = len(grams)
     firsts = windows(n, percent)
-    for low, high in zip(firsts, firsts[1:]):
+    for i, (low, high) in enumerate(zip(firsts, firsts[1:])):
         if not low <= n <= (high - 1) * 100 // percent:
             continue
-        blocks = differing(high - 1, percent) + 1 + SPARE
+        blocks = positions(low, high, percent)
         block = (words.mix(grams ^ U64(0x5851F42D4C957F2D)) % U64(blocks)).astype(np.int64)
-        sums = np.zeros(blocks, U64)
-        np.add.at(sums, block, words.mix(grams ^ U64(0x14057B7EF767814F)))
         filled = np.bincount(block, minlength=blocks) > 0
-        if blocks - filled.sum() > SPARE:  # similar sets might agree on empty blocks alone
+        slack = max(0, int(filled.sum()) - differing(min(n, high - 1), percent))
+        if not slack:  # similar sets might agree on empty blocks alone
             filled[:] = True
-        salt = words.mix(np.arange(blocks, dtype=U64) + U64(low) * U64(1 << 32))
-        out.append(words.mix(sums + salt)[filled])
+        yield i % WINDOWS, low, block, filled, slack
+
+
+def signatures(grams: np.ndarray, percent: int) -> np.ndarray:
+    """The set's entries in the index, each with its window in the lowest bits."""
+    out = []
+    for window, low, block, filled, _ in dealt(grams, percent):
+        sums = np.zeros(len(filled), U64)
+        np.add.at(sums, block, words.mix(grams ^ U64(0x14057B7EF767814F)))
+        salt = words.mix(np.arange(len(filled), dtype=U64) + U64(low) * U64(1 << 32))
+        out.append(words.mix(sums + salt)[filled] // U64(WINDOWS) * U64(WINDOWS) + U64(window))
     return np.concatenate(out) if out else np.empty(0, U64)
 
 
+def slacks(grams: np.ndarray, percent: int) -> list[int]:
+    """The slack of each of the set's windows, times WINDOWS, with the window in the lowest bits."""
+    return [slack * WINDOWS + window for window, _, _, _, slack in dealt(grams, percent)]
+
+
 def profile(grams: np.ndarray) -> bytes:
     """Counts of the shingles by hash, at most 255, in a power of two of buckets that follows their number."""
     if not len(grams):
@@ -153,48 +193,111 @@ def refined(lists: DataFrame, percent: int) -> DataFrame:
     return lists.select("list", "k1", "n", "profile").mapInArrow(of, "u long, v long")
 
 
-def candidates(every: DataFrame, percent: int) -> DataFrame:
-    """(u, v): links between sets by k1. Similar sets are linked, directly or not; others may be."""
-    w = Window.partitionBy("entry")
-    entries = every.select("k1", F.explode("entries").alias("entry"))
-    known = entries.withColumns({"lo": F.min("k1").over(w), "hi": F.max("k1").over(w), "m": F.count(F.lit(1)).over(w),
-                                 "all": F.bit_xor(F.xxhash64("k1")).over(w)}).where("lo <> hi")
-    known = written(known.select(F.xxhash64("all", "lo", "hi", "m").alias("list"), "k1", "lo", (F.col("m") > BIG).alias("big"))
-                    .distinct(), "lists")
-    profiles = written(every.where("n > 0").groupBy("k1").agg(F.max("n").alias("n"), F.max("profile").alias("profile")), "profiles")
-    small = known.where("not big").select("list", "k1").join(profiles, "k1")
+def key(grams: np.ndarray) -> U64:
+    return words.mix(grams).sum(dtype=U64)
+
+
+def packed(docs: DataFrame, size: int, percent: int, buckets: int) -> DataFrame:
+    """(bucket, entries, keys): the index, dealt to buckets by entry. A row holds a batch's entries of one bucket and the k1 of
+    the set of each, as bytes; nothing else is said of a set, and equal sets of a batch count once."""
+
+    def rows(held: dict[int, np.ndarray]) -> pa.RecordBatch:
+        entries = np.concatenate(list(held.values()))
+        keys = np.repeat(np.array(list(held), U64), [len(e) for e in held.values()])
+        bucket = (words.mix(entries) % U64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        numbers, begins = np.unique(bucket[order], return_index=True)
+        ends = pa.array(np.append(begins, len(order)) * 8, pa.int32())
+        data = [pa.Array.from_buffers(pa.binary(), len(numbers), [None, ends.buffers()[1], pa.py_buffer(x[order].tobytes())])
+                for x in (entries, keys)]
+        return pa.RecordBatch.from_arrays([pa.array(numbers), *data], names=["bucket", "entries", "keys"])
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        count = 0
+        for batch in batches:
+            for t in batch.column(0):
+                grams = shingles(t.as_buffer() if t.is_valid else b"", size)
+                if (k := int(key(grams))) not in held and len(entries := signatures(grams, percent)):
+                    held[k] = entries
+                    count += len(entries)
+                    if count > PACK:
+                        yield rows(held)
+                        held, count = {}, 0
+        if held:
+            yield rows(held)
+
+    return docs.select("text").mapInArrow(of, "bucket long, entries binary, keys binary")
+
+
+def shared(part: pa.Table) -> pa.Table:
+    """(list, k1, m, window) for the entries of a bucket that more than one set has: the list's name, made from its sets, and
+    their number."""
+    entry, key = (np.frombuffer(b"".join(x.as_buffer() for x in part[c]), np.int64) for c in ("entries", "keys"))
+    order = np.lexsort((key, entry))
+    entry, key = entry[order], key[order]
+    new = np.ones(len(entry), bool)
+    new[1:] = (entry[1:] != entry[:-1]) | (key[1:] != key[:-1])
+    entry, key = entry[new], key[new]
+    begin = np.flatnonzero(np.concatenate(([True], entry[1:] != entry[:-1])))
+    m = np.diff(np.append(begin, len(entry)))
+    sets = words.mix(key.view(U64))
+    name = words.mix(np.add.reduceat(sets, begin) + words.mix(np.bitwise_xor.reduceat(sets, begin)) + m.astype(U64))
+    many = np.repeat(m > 1, m)
+    of = np.repeat(np.arange(len(m)), m)[many]
+    return pa.table({"list": name.view(np.int64)[of], "k1": key[many], "m": m[of], "window": entry[many] % WINDOWS})
+
+
+def candidates(docs: DataFrame, every: DataFrame, size: int, percent: int) -> DataFrame:
+    """(u, v): links between sets by k1. Similar sets are linked, directly or not; others may be.
+
+    Of lists of more than COMMON sets, which a passage that many texts have makes, a set leaves those of a window if it has
+    fewer entries in such lists there than similar sets agree on: every similar set then meets it in a shorter list."""
+    total = every.agg(F.sum("n")).first()[0] or 0
+    index = packed(docs, size, percent, 1 + total // BUCKET)
+    known = index.groupBy("bucket").applyInArrow(shared, "list long, k1 long, m long, window long")
+    known = written(known.groupBy("list", "k1", "window").agg(F.max("m").alias("m"), F.count(F.lit(1)).alias("entries")), "lists")
+    profiles = written(every.where("n > 0").groupBy("k1").agg(F.max("n").alias("n"), F.max("profile").alias("profile"),
+                                                              F.max("slacks").alias("slacks")), "profiles")
+    common = known.where(F.col("m") > COMMON)
+    slack = profiles.select("k1", F.explode("slacks").alias("slack")).select(
+        "k1", F.pmod("slack", F.lit(WINDOWS)).alias("window"), F.floor(F.col("slack") / WINDOWS).alias("slack"))
+    stay = (common.groupBy("k1", "window").agg(F.sum("entries").alias("entries")).join(slack, ["k1", "window"])
+            .where(F.col("entries") >= F.col("slack")).select("k1", "window"))
+    stayed = written(common.join(stay, ["k1", "window"]).select("list", "k1").distinct(), "stayed")
+    of = stayed.groupBy("list").agg(F.min("k1").alias("lo"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    left = written(stayed.join(of, "list"), "left")
+    short = known.where(F.col("m") <= COMMON).select("list", "k1").distinct().unionByName(
+        left.where(F.col("m") <= BIG).select("list", "k1"))
+    small = short.join(profiles.select("k1", "n", "profile"), "k1")
     found = refined(small.repartition("list").sortWithinPartitions("list"), percent)
-    links = written(found.unionByName(known.where("big").select(F.col("k1").alias("u"), F.col("lo").alias("v"))).distinct(), "links")
-    discard(known, profiles)
+    stars = left.where(F.col("m") > BIG).select(F.col("k1").alias("u"), F.col("lo").alias("v"))
+    links = written(found.unionByName(stars).distinct(), "links")
+    discard(known, profiles, stayed, left)
     return links
 
 
 def sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(doc, version, n, k1, k2, profile, entries): size, 128-bit identity, profile and index entries of every document's set."""
+    """(doc, version, n, k1, k2, profile, slacks): size, 128-bit identity, profile and slacks of every document's set."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            begin, held, sizes, keys, profiles, entries = 0, 0, [], [], [], []
-            for i, t in enumerate(batch.column(2)):
+            sizes, keys, profiles, slack = [], [], [], []
+            for t in batch.column(2):
                 grams = shingles(t.as_buffer() if t.is_valid else b"", size)
-                keys.append((words.mix(grams).sum(dtype=U64), words.mix(grams ^ U64(0x9E3779B97F4A7C15)).sum(dtype=U64)))
+                keys.append((key(grams), key(grams ^ U64(0x9E3779B97F4A7C15))))
                 sizes.append(len(grams))
                 profiles.append(profile(grams))
-                entries.append(signatures(grams, percent))
-                held += len(entries[-1])
-                if held > BATCH or i == len(batch) - 1:
-                    ends = np.cumsum([0] + [len(e) for e in entries]).astype(np.int32)
-                    k = np.array(keys, U64).reshape(-1, 2)
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(begin, len(sizes)), batch.column(1).slice(begin, len(sizes)),
-                         pa.array(sizes, pa.int64()), pa.array(k[:, 0].view(np.int64)), pa.array(k[:, 1].view(np.int64)),
-                         pa.array(profiles, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(entries).view(np.int64)))],
-                        names=["doc", "version", "n", "k1", "k2", "profile", "entries"])
-                    begin, held, sizes, keys, profiles, entries = i + 1, 0, [], [], [], []
+                slack.append(slacks(grams, percent))
+            k = np.array(keys, U64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(k[:, 0].view(np.int64)),
+                 pa.array(k[:, 1].view(np.int64)), pa.array(profiles, pa.binary()), pa.array(slack, pa.list_(pa.int64()))],
+                names=["doc", "version", "n", "k1", "k2", "profile", "slacks"])
 
     kind = docs.schema["doc"].dataType.simpleString()
     return docs.select("doc", "version", "text").mapInArrow(
-        of, f"doc {kind}, version long, n long, k1 long, k2 long, profile binary, entries array<long>")
+        of, f"doc {kind}, version long, n long, k1 long, k2 long, profile binary, slacks array<long>")
 
 
 def numbered(docs: DataFrame, id_col: str, text: Column) -> DataFrame:
@@ -341,7 +444,7 @@ def rooted(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFra
     classes = written(every.where("n > 0").groupBy("k1", "k2").agg(F.min(rep).alias("rep"), F.count(F.lit(1)).alias("copies")),
                       "classes")
 
-    links = candidates(every, percent)
+    links = candidates(docs, every, size, percent)
     near = components(links)
     families = near.select(F.col("u").alias("k1"), F.col("v").alias("family")).unionByName(
         near.select(F.col("v").alias("k1"), F.col("v").alias("family")).distinct())
